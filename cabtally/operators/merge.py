@@ -20,24 +20,17 @@ def merge_totals(
     contributions, both sides defaulting to 0. Summing the union gives it with one
     shuffle and no join: each task first combines its own rows, so a key that holds
     most of the input still sends one row per task, and contributions need not be
-    aggregated beforehand.
-
-    Rows with a null in a key are dropped. A key keeps a total of 0 when all its
-    measures are null.
+    aggregated beforehand. A key whose measures are all null has a total of 0.
     """
     columns = [*keys, *measures]
     rows = contributions.select(*columns)
     if stored is not None:
         rows = rows.unionByName(stored.select(*columns))
-    return (
-        rows.na.drop(subset=list(keys))
-        .groupBy(*keys)
-        .agg(
-            *[
-                F.coalesce(F.sum(name), F.lit(0)).cast(kind).alias(name)
-                for name, kind in measures.items()
-            ]
-        )
+    return rows.groupBy(*keys).agg(
+        *[
+            F.coalesce(F.sum(name), F.lit(0)).cast(kind).alias(name)
+            for name, kind in measures.items()
+        ]
     )
 
 

@@ -19,20 +19,22 @@ from cabtally.functions.trips import (
 from cabtally.operators.merge import merge_totals
 
 COUNT = {"count": "bigint"}
-REVENUE = {"total_amount": "decimal(28,2)"}
+REVENUE = {"total_amount": "decimal(18,2)"}
 
 
 @dataclass(frozen=True)
 class Statistic:
     """Trips summed up by key.
 
-    ``keys`` gives the type and the expression over a trip of each key column,
-    ``value`` what one trip adds to the measure. ``batch_filter`` selects the trips
-    that count when files are processed as a batch. ``present`` turns stored totals
-    into the published table.
+    ``needs`` names the trip columns the keys are made of; a trip without one of them
+    has no key and does not count. ``keys`` gives the type and the expression of each
+    key column, ``value`` what one trip adds to the measure. ``batch_filter`` selects
+    the trips that count when files are processed as a batch. ``present`` turns stored
+    totals into the published table.
     """
 
     name: str
+    needs: tuple[str, ...]
     keys: dict[str, tuple[str, Callable[[], Column]]]
     measures: dict[str, str]
     value: Callable[[], Column]
@@ -52,6 +54,10 @@ class Statistic:
 
     def contributions(self, trips: DataFrame, batch: bool = False) -> DataFrame:
         """What each trip adds, as (keys, measure)."""
+        # Nulls are tested on the trip's columns, not on the keys: the test then reaches
+        # the scan, and the keys are worked out once.
+        for column in self.needs:
+            trips = trips.filter(F.col(column).isNotNull())
         if batch and self.batch_filter is not None:
             trips = trips.filter(self.batch_filter())
         return trips.select(*self._key_columns(), self.value().alias(self.measure))
@@ -69,7 +75,7 @@ class Statistic:
         """The (keys, measure) rows of this statistic in the result of :func:`combine`."""
         return combined.select(
             *[F.col(f"`{self.name}.{key}`").alias(key) for key in self.keys], self.measure
-        )
+        ).na.drop(subset=list(self.keys))
 
     def _key_columns(self, prefix: str = "", only_if: Column | None = None) -> list[Column]:
         return [
@@ -143,6 +149,7 @@ def _after_start() -> Column:
 
 PASSENGERS = Statistic(
     name="passenger_number_statistics",
+    needs=("passenger_count",),
     keys={"passenger_number": ("int", lambda: F.col("passenger_count"))},
     measures=COUNT,
     value=_one,
@@ -151,6 +158,7 @@ PASSENGERS = Statistic(
 
 PAYMENT_TYPE = Statistic(
     name="payment_type_statistics",
+    needs=("payment_type",),
     keys={"payment_type": ("int", lambda: F.col("payment_type"))},
     measures=COUNT,
     value=_one,
@@ -159,6 +167,7 @@ PAYMENT_TYPE = Statistic(
 
 PICKUP_HOUR = Statistic(
     name="pickup_hour_statistics",
+    needs=("tpep_pickup_datetime",),
     keys={"pickup_hour": ("string", lambda: hour_label(F.col("tpep_pickup_datetime")))},
     measures=COUNT,
     value=_one,
@@ -167,6 +176,7 @@ PICKUP_HOUR = Statistic(
 
 REVENUE_PER_DAY = Statistic(
     name="total_amount_statistics",
+    needs=("tpep_dropoff_datetime",),
     keys={
         "year": ("int", lambda: F.year(_dropoff())),
         "month": ("int", lambda: F.month(_dropoff())),
@@ -181,6 +191,7 @@ REVENUE_PER_DAY = Statistic(
 # ISO weeks: the week number belongs to the year of the week, not of the date.
 REVENUE_PER_WEEK = Statistic(
     name="total_amount_week_statistics",
+    needs=("tpep_dropoff_datetime",),
     keys={
         "year": ("int", lambda: F.extract(F.lit("YEAROFWEEK"), _dropoff())),
         "week": ("int", lambda: F.weekofyear(_dropoff())),
@@ -193,6 +204,7 @@ REVENUE_PER_WEEK = Statistic(
 
 DISTANCE = Statistic(
     name="trip_distance_statistics",
+    needs=("trip_distance",),
     keys={"trip_distance": ("string", lambda: distance_class(F.col("trip_distance")))},
     measures=COUNT,
     value=_one,
@@ -201,6 +213,7 @@ DISTANCE = Statistic(
 
 DURATION = Statistic(
     name="trip_duration_statistics",
+    needs=("tpep_pickup_datetime", "tpep_dropoff_datetime"),
     keys={
         "duration_class": (
             "string",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabtally.sources.records import lower_case
+from cabtally.sources.files import read_zones
+from cabtally.sources.storage import scratch_folder
 
 # Trips before this pickup time are the stored ones, the rest arrive later.
 SPLIT = "2024-01-16 00:00:00"
@@ -35,14 +36,18 @@ def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
     if part != "all":
         events = events.filter(F.col("ts") < split if part == "stored" else F.col("ts") >= split)
     number = F.col("event_id")
-    # Plain interval arithmetic, since date_trunc would go through the session time zone.
-    pickup = F.expr("ts - make_dt_interval(0, 0, 0, extract(SECOND FROM ts) % 1)")
-    ride = F.make_dt_interval(secs=((number * 37) % 3600).cast("int"))
+    second = F.unix_timestamp("ts")
+
+    def at(seconds: Column) -> Column:
+        """Wall-clock time by its seconds; does not go through the session time zone."""
+        start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return start + F.expr("INTERVAL '1' SECOND") * seconds
+
     return events.select(
         number.alias("trip_id"),
         (number % 2 + 1).cast("int").alias("vendorid"),
-        pickup.alias("tpep_pickup_datetime"),
-        (pickup + ride).alias("tpep_dropoff_datetime"),
+        at(second).alias("tpep_pickup_datetime"),
+        at(second + (number * 37) % 3600).alias("tpep_dropoff_datetime"),
         F.when(number % 50 != 0, (F.col("user_id") % 7).cast("int")).alias("passenger_count"),
         (F.col("value") / 10).alias("trip_distance"),
         F.when(number % 8 != 0, (number % 8).cast("int")).alias("payment_type"),
@@ -52,29 +57,38 @@ def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
     )
 
 
-def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones from ``nation``, three of them with unusable coordinates."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     key = F.col("n_nationkey")
 
-    def hundredths(start: int, step: float):
+    def hundredths(start: int, step: float) -> Column:
         return (F.lit(start) + key * F.lit(step)).cast("decimal(9,2)").cast("string")
 
-    return lower_case(
-        nation.select(
-            key.alias("LocationID"),
-            F.concat(F.lit("B"), F.col("n_regionkey").cast("string")).alias("Borough"),
-            F.col("n_name").alias("Zone"),
-            F.when(key >= 23, "N/A").otherwise("Boro Zone").alias("service_zone"),
-            F.when(key >= 23, "#N/A")
-            .when(key == 22, "90.7")
-            .otherwise(hundredths(40, 0.01))
-            .alias("latitude"),
-            F.when(key == 24, "#N/A").otherwise(hundredths(-74, -0.01)).alias("longitude"),
-        )
+    return nation.select(
+        key.alias("LocationID"),
+        F.concat(F.lit("B"), F.col("n_regionkey").cast("string")).alias("Borough"),
+        F.col("n_name").alias("Zone"),
+        F.when(key >= 23, "N/A").otherwise("Boro Zone").alias("service_zone"),
+        F.when(key >= 23, "#N/A")
+        .when(key == 22, "90.7")
+        .otherwise(hundredths(40, 0.01))
+        .alias("latitude"),
+        F.when(key == 24, "#N/A").otherwise(hundredths(-74, -0.01)).alias("longitude"),
     )
 
 
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zones by way of a lookup file, which is how they are given.
+
+    As a file, their coordinates are data. As expressions over the zone id, Spark would
+    infer the coordinate filter for the trips too and work it out for each trip.
+    """
+    path = f"{scratch_folder(spark, 'zones')}/lookup"
+    zone_rows(spark, sf_dir).write.csv(path, header=True)
+    return read_zones(spark, path)
+
+
 def with_copies(rows: DataFrame, every: int = 20) -> DataFrame:
     """Adds an exact copy of every ``every``-th trip, in the same task as its original."""
     copies = F.when(F.col("trip_id") % every == 0, 2).otherwise(1)
