@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabtally.fixed_values import END_MARKER
 from cabtally.sources.files import read_zones
 from cabtally.sources.storage import scratch_folder
+from cabtally.sources.streams import open_stream
 
 # Trips before this pickup time are the stored ones, the rest arrive later.
 SPLIT = "2024-01-16 00:00:00"
@@ -26,12 +28,23 @@ FIELDS = {
 
 
 def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
-    """Trips from ``events``: ``all``, ``stored`` (before the split) or ``new``.
+    """Trips from ``events``: ``all``, ``stored`` (before the split) or ``new``."""
+    return _trips_of(spark.read.parquet(_events(sf_dir)), part)
 
-    The split is a filter on the raw time, so it reaches the Parquet scan; it equals
-    one on the pickup time, which is cut to a whole second, as the split is.
-    """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+
+def trip_stream(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
+    """The same trips as an unbounded frame that follows the files of ``events``."""
+    schema = spark.read.parquet(_events(sf_dir)).schema
+    return _trips_of(open_stream(spark, "parquet", _events(sf_dir), schema), part)
+
+
+def _events(sf_dir: str) -> str:
+    return f"{sf_dir}/events.parquet"
+
+
+def _trips_of(events: DataFrame, part: str) -> DataFrame:
+    # The split is a filter on the raw time, so it reaches the Parquet scan; it equals one
+    # on the pickup time, which is cut to a whole second, as the split is.
     split = F.lit(SPLIT).cast("timestamp_ntz")
     if part != "all":
         events = events.filter(F.col("ts") < split if part == "stored" else F.col("ts") >= split)
@@ -95,5 +108,9 @@ def with_copies(rows: DataFrame, every: int = 20) -> DataFrame:
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
 
 
-def end_marker(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.lit(True).alias("end_of_stream"))
+def with_end_markers(messages: DataFrame, every: int = 500) -> DataFrame:
+    """Adds an end marker after every ``every``-th message, wherever its task stands."""
+    marker = F.lit(f'{{"{END_MARKER}":true}}')
+    marked = F.xxhash64("value") % every == 0
+    values = F.when(marked, F.array("value", marker)).otherwise(F.array("value"))
+    return messages.select(F.explode(values).alias("value"))

@@ -1,8 +1,8 @@
 """The registered queries, each over the whole of the given tables.
 
 Queries over stored state split the trips at a fixed time: the earlier ones make up the
-stored totals, the later ones arrive on top. Queries that need files write them below
-the session's shared folder.
+stored totals, the later ones arrive on top. What a query has to write (snapshots,
+checkpoints, landed files) goes below the session's shared folder.
 """
 
 from __future__ import annotations
@@ -23,17 +23,25 @@ from cabtally.operators.statistics import (
     Statistic,
     with_date,
 )
-from cabtally.plans.fixtures import FIELDS, end_marker, trips, with_copies, zones
-from cabtally.sources.files import read_csv, read_trips
-from cabtally.sources.records import decode_trips, encode_json, typed
+from cabtally.plans.fixtures import (
+    FIELDS,
+    trip_stream,
+    trips,
+    with_copies,
+    with_end_markers,
+    zones,
+)
+from cabtally.sources.files import read_trips
+from cabtally.sources.records import decode_trips, encode_json
 from cabtally.sources.storage import scratch_folder
-from cabtally.sources.streams import open_stream, publish
+from cabtally.sources.streams import publish
 from cabtally.streaming.landing import land_batch, land_stream
 from cabtally.streaming.queries import finish
 from cabtally.streaming.statistics import (
     combined_report,
     latest,
     merge_stream,
+    open_table,
     running_totals_stream,
 )
 
@@ -59,8 +67,8 @@ def publish_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_csv_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{scratch_folder(spark, 'landing')}/landed"
-    messages = encode_json(with_copies(trips(spark, sf_dir)))
-    land_batch(messages.unionByName(encode_json(end_marker(spark))), folder, "batch", FIELDS)
+    messages = with_end_markers(encode_json(with_copies(trips(spark, sf_dir))))
+    land_batch(messages, folder, "batch", FIELDS)
     return read_trips(spark, folder, FIELDS)
 
 
@@ -108,67 +116,45 @@ def location_table(location: str) -> Query:
     )
 
 
-# Streams
-
+# Streams. Each follows the files of the events table, as JSON messages.
 
-def arrivals(
-    spark: SparkSession,
-    sf_dir: str,
-    purpose: str,
-    run: Callable[[DataFrame, str, str], None],
-    copies: bool = False,
-) -> str:
-    """Publish the earlier trips, run the stream, publish the later ones, run it again.
 
-    Both runs share ``folder/checkpoint``, so the second one is a restart that finds
-    new messages. ``run`` gets the messages, the result folder and the checkpoint.
-    """
-    folder = scratch_folder(spark, purpose)
-    for part in ("stored", "new"):
-        rows = trips(spark, sf_dir, part)
-        publish(with_copies(rows) if copies else rows, "text", f"{folder}/messages")
-        if copies:
-            publish(end_marker(spark), "text", f"{folder}/messages")
-        messages = open_stream(spark, "text", f"{folder}/messages")
-        run(messages, f"{folder}/result", f"{folder}/checkpoint")
-    return f"{folder}/result"
-
-
-def _merge_all(statistics: list[Statistic]) -> Callable[[DataFrame, str, str], None]:
-    return lambda messages, folder, checkpoint: finish(
-        merge_stream(decode_trips(messages, FIELDS), statistics, folder, checkpoint)
-    )
+def _merge_stream(spark: SparkSession, sf_dir: str, statistics: list[Statistic]) -> str:
+    """Store the totals of the earlier trips, then stream the later ones on top."""
+    folder = scratch_folder(spark, "stream")
+    for statistic in statistics:
+        stored = statistic.totals(trips(spark, sf_dir, "stored"))
+        open_table(spark, folder, statistic).commit(stored)
+    messages = encode_json(trip_stream(spark, sf_dir, "new"))
+    rows = decode_trips(messages, FIELDS)
+    finish(merge_stream(rows, statistics, folder, f"{folder}/checkpoint"))
+    return folder
 
 
 def streamed(statistic: Statistic) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = arrivals(spark, sf_dir, statistic.name, _merge_all([statistic]))
-        return latest(spark, folder, statistic)
+        return latest(spark, _merge_stream(spark, sf_dir, [statistic]), statistic)
 
     return query
 
 
 def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four streamed statistics from one read of the messages."""
-    folder = arrivals(spark, sf_dir, "statistics", _merge_all(STREAMED))
-    return combined_report(spark, folder, STREAMED)
+    return combined_report(spark, _merge_stream(spark, sf_dir, STREAMED), STREAMED)
 
 
 def stream_passenger_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def run(messages: DataFrame, folder: str, checkpoint: str) -> None:
-        rows = decode_trips(messages, FIELDS)
-        finish(running_totals_stream(rows, PASSENGERS, folder, checkpoint))
-
-    folder = arrivals(spark, sf_dir, "stateful", run)
+    folder = scratch_folder(spark, "stateful")
+    rows = decode_trips(encode_json(trip_stream(spark, sf_dir)), FIELDS)
+    finish(running_totals_stream(rows, PASSENGERS, folder, f"{folder}/checkpoint"))
     return latest(spark, folder, PASSENGERS).select("passenger_number", "count")
 
 
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def run(messages: DataFrame, folder: str, checkpoint: str) -> None:
-        finish(land_stream(messages, folder, checkpoint, FIELDS))
-
-    folder = arrivals(spark, sf_dir, "landing", run, copies=True)
-    return typed(read_csv(spark, folder, FIELDS), FIELDS)
+    folder = scratch_folder(spark, "landing")
+    messages = with_end_markers(encode_json(with_copies(trip_stream(spark, sf_dir))))
+    finish(land_stream(messages, f"{folder}/landed", f"{folder}/checkpoint", FIELDS))
+    return read_trips(spark, f"{folder}/landed", FIELDS)
 
 
 # Reports

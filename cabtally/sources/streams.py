@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from cabtally.sources.files import csv_options
 from cabtally.sources.records import encode_json
@@ -31,7 +32,7 @@ def open_stream(
     spark: SparkSession,
     kind: str,
     path: str | None = None,
-    schema: str | None = None,
+    schema: str | StructType | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """An unbounded frame from ``kafka``, ``text``, ``json``, ``csv`` or ``parquet``.
