@@ -53,4 +53,4 @@ REVENUE_STARTS_AFTER = "2018-01-01 00:00:00"  # pickup, exclusive; batch jobs on
 END_MARKER = "end_of_stream"
 PARTITION_KEY = 1
 PREVIEW_ROWS = 20
-LANDING_BATCH_RECORDS = 1_000_000
+LANDING_BATCH = 1_000_000  # messages

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,8 +29,8 @@ class Statistic:
     ``needs`` names the trip columns the keys are made of; a trip without one of them
     has no key and does not count. ``keys`` gives the type and the expression of each
     key column, ``value`` what one trip adds to the measure. ``batch_filter`` selects
-    the trips that count when files are processed as a batch. ``present`` turns stored
-    totals into the published table.
+    the trips that count when files are processed as a batch. ``also_reads`` names the
+    trip columns these two use. ``present`` turns stored totals into the published table.
     """
 
     name: str
@@ -40,6 +40,12 @@ class Statistic:
     value: Callable[[], Column]
     present: Callable[[DataFrame], DataFrame]
     batch_filter: Callable[[], Column] | None = None
+    also_reads: tuple[str, ...] = ()
+
+    @property
+    def columns(self) -> tuple[str, ...]:
+        """The trip columns the statistic is made of; a decoder need not read others."""
+        return self.needs + self.also_reads
 
     @property
     def measure(self) -> str:
@@ -102,6 +108,12 @@ def combine(trips: DataFrame, statistics: Iterable[Statistic], batch: bool = Fal
     return trips.groupBy(*keys).agg(*sums.values())
 
 
+def fields_of(statistics: Iterable[Statistic], fields: Mapping[str, str]) -> dict[str, str]:
+    """The part of ``fields`` that ``statistics`` are made of."""
+    wanted = {column for statistic in statistics for column in statistic.columns}
+    return {name: kind for name, kind in fields.items() if name in wanted}
+
+
 def payment_labels(totals: DataFrame) -> DataFrame:
     """(payment_type, payment_type_name): a constant of six rows."""
     rows = ", ".join(f"({code}, '{label}')" for code, label in PAYMENT_TYPES.items())
@@ -186,6 +198,7 @@ REVENUE_PER_DAY = Statistic(
     value=_revenue,
     present=lambda totals: _keyed(with_date(_as_double(totals))),
     batch_filter=_after_start,
+    also_reads=("tpep_pickup_datetime", "total_amount"),
 )
 
 # ISO weeks: the week number belongs to the year of the week, not of the date.
@@ -200,6 +213,7 @@ REVENUE_PER_WEEK = Statistic(
     value=_revenue,
     present=lambda totals: _keyed(_as_double(totals)),
     batch_filter=_after_start,
+    also_reads=("tpep_pickup_datetime", "total_amount"),
 )
 
 DISTANCE = Statistic(

@@ -21,6 +21,7 @@ from cabtally.operators.statistics import (
     REVENUE_PER_DAY,
     REVENUE_PER_WEEK,
     Statistic,
+    fields_of,
     with_date,
 )
 from cabtally.plans.fixtures import (
@@ -126,7 +127,7 @@ def _merge_stream(spark: SparkSession, sf_dir: str, statistics: list[Statistic])
         stored = statistic.totals(trips(spark, sf_dir, "stored"))
         open_table(spark, folder, statistic).commit(stored)
     messages = encode_json(trip_stream(spark, sf_dir, "new"))
-    rows = decode_trips(messages, FIELDS)
+    rows = decode_trips(messages, fields_of(statistics, FIELDS))
     finish(merge_stream(rows, statistics, folder, f"{folder}/checkpoint"))
     return folder
 
@@ -145,7 +146,8 @@ def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_passenger_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "stateful")
-    rows = decode_trips(encode_json(trip_stream(spark, sf_dir)), FIELDS)
+    messages = encode_json(trip_stream(spark, sf_dir))
+    rows = decode_trips(messages, fields_of([PASSENGERS], FIELDS))
     finish(running_totals_stream(rows, PASSENGERS, folder, f"{folder}/checkpoint"))
     return latest(spark, folder, PASSENGERS).select("passenger_number", "count")
 

@@ -43,7 +43,7 @@ def read_trips(
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, ZONE_FIELDS).select(*ZONE_FIELDS)
+    return typed(read_csv(spark, path, ZONE_FIELDS), ZONE_FIELDS)
 
 
 def jdbc_options(

@@ -8,7 +8,13 @@ from pyspark.sql.types import StructType
 from cabtally.sources.files import csv_options
 from cabtally.sources.records import encode_json
 
-FILES_PER_BATCH = 1000
+FILE_DEFAULTS = {
+    "maxFilesPerTrigger": "1000",
+    "recursiveFileLookup": "true",
+    # Spark ignores files a week older than the newest one, except at the first start.
+    # A job that runs once a month must not lose them.
+    "maxFileAge": "36500d",
+}
 
 
 def kafka_source_options(
@@ -43,9 +49,7 @@ def open_stream(
     reader = spark.readStream.format(kind)
     if kind == "kafka":
         return reader.options(**(options or {})).load()
-    defaults = {"maxFilesPerTrigger": str(FILES_PER_BATCH), "recursiveFileLookup": "true"}
-    if kind == "csv":
-        defaults |= csv_options()
+    defaults = FILE_DEFAULTS | (csv_options() if kind == "csv" else {})
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**(defaults | (options or {}))).load(path)

@@ -72,7 +72,8 @@ def running_totals_stream(
 ) -> StreamingQuery:
     """Totals kept in Spark's state store; the table receives the keys that changed.
 
-    Each change carries the whole running total, so repeating a batch is harmless.
+    Each change carries the whole running total, so repeating a batch is harmless. A
+    table is fed either by this or by :func:`merge_stream`, since this replaces totals.
     The keys are few and never expire, hence no watermark.
     """
     table = open_table(trips.sparkSession, folder, statistic)
