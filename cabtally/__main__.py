@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cabtally.fixed_values import LANDING_BATCH, PREVIEW_ROWS
+from cabtally.fixed_values import LANDING_BATCH
 from cabtally.operators import reports
 from cabtally.operators.statistics import REVENUE_PER_DAY, STATISTICS
 from cabtally.plans import jobs
@@ -31,6 +31,13 @@ def _committed(args: argparse.Namespace):
     return jobs.copy_to(args.copy_to, **_pairs(args.option)) if args.copy_to else None
 
 
+def _print(frame: DataFrame) -> None:
+    """All rows, fetched one partition at a time."""
+    print(*frame.columns, sep="\t")
+    for row in frame.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="cabtally", description=__doc__)
     add = root.add_subparsers(dest="job", required=True).add_parser
@@ -154,12 +161,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             jobs.seed_from(spark, chosen[0], args.tables, connector, **_pairs(args.option))
         case "show":
             for statistic in chosen:
-                latest(spark, args.tables, statistic).show(truncate=False)
+                _print(latest(spark, args.tables, statistic))
         case "report":
             totals = open_table(spark, args.tables, REVENUE_PER_DAY).read()
-            reports.ordered_report(totals).show(truncate=False)
+            _print(reports.ordered_report(totals))
         case "stages":
-            jobs.revenue_stages(spark, args.csv, args.tables).show(truncate=False)
+            _print(jobs.revenue_stages(spark, args.csv, args.tables))
         case "heat":
             jobs.heat_points(spark, args.csv, args.zones, args.place).write.parquet(args.out)
         case "locations":
@@ -167,8 +174,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         case "store":
             jobs.write_trip_store(spark, args.csv, args.out)
         case "preview":
-            store = spark.read.parquet(args.store)
-            reports.preview(store, "id").show(PREVIEW_ROWS, truncate=False)
+            _print(reports.preview(spark.read.parquet(args.store), "id"))
         case "import":
             options = jdbc_options(
                 args.url,
