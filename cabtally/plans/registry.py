@@ -39,10 +39,10 @@ from cabtally.sources.streams import publish
 from cabtally.streaming.landing import land_batch, land_stream
 from cabtally.streaming.queries import finish
 from cabtally.streaming.statistics import (
+    add_to_tables,
     combined_report,
     latest,
     merge_stream,
-    open_table,
     running_totals_stream,
 )
 
@@ -123,9 +123,7 @@ def location_table(location: str) -> Query:
 def _merge_stream(spark: SparkSession, sf_dir: str, statistics: list[Statistic]) -> str:
     """Store the totals of the earlier trips, then stream the later ones on top."""
     folder = scratch_folder(spark, "stream")
-    for statistic in statistics:
-        stored = statistic.totals(trips(spark, sf_dir, "stored"))
-        open_table(spark, folder, statistic).commit(stored)
+    add_to_tables(trips(spark, sf_dir, "stored"), statistics, folder)
     messages = encode_json(trip_stream(spark, sf_dir, "new"))
     rows = decode_trips(messages, fields_of(statistics, FIELDS))
     finish(merge_stream(rows, statistics, folder, f"{folder}/checkpoint"))

@@ -23,6 +23,38 @@ def open_table(spark: SparkSession, folder: str, statistic: Statistic) -> Snapsh
     return SnapshotTable(spark, f"{folder.rstrip('/')}/{statistic.name}", statistic.schema)
 
 
+def add_to_tables(
+    trips: DataFrame,
+    statistics: list[Statistic],
+    folder: str,
+    stream: str | None = None,
+    batch_id: int = 0,
+    batch: bool = False,
+    committed: Committed | None = None,
+) -> None:
+    """Add ``trips``, read once, to the stored totals of all ``statistics``.
+
+    With several statistics the trips are first summed up by all keys together, and
+    that small result is kept while the tables are written from it, one after the other.
+    """
+    tables = {s.name: open_table(trips.sparkSession, folder, s) for s in statistics}
+    due = [s for s in statistics if stream is None or not tables[s.name].has(stream, batch_id)]
+    combined = combine(trips, due, batch).persist() if len(due) > 1 else None
+    try:
+        for statistic in due:
+            table = tables[statistic.name]
+            if combined is None:
+                new = statistic.contributions(trips, batch)
+            else:
+                new = statistic.from_combined(combined)
+            table.commit(statistic.add(new, table.read()), stream, batch_id)
+            if committed is not None:
+                committed(statistic, table)
+    finally:
+        if combined is not None:
+            combined.unpersist()
+
+
 def merge_stream(
     trips: DataFrame,
     statistics: list[Statistic],
@@ -36,28 +68,12 @@ def merge_stream(
 
     The source is read once, however many statistics there are. With ``batch`` the
     batch filters apply, as for files. ``committed`` is called after each commit, for
-    example to copy the totals to a connector table.
+    example to copy the totals to a connector table; after a failure it may be missed
+    for a batch, and the next batch makes up for it.
     """
-    tables = {s.name: open_table(trips.sparkSession, folder, s) for s in statistics}
 
     def merge(rows: DataFrame, batch_id: int, query_id: str) -> None:
-        due = [s for s in statistics if not tables[s.name].has(query_id, batch_id)]
-        if not due:
-            return
-        combined = combine(rows, due, batch).persist() if len(due) > 1 else None
-        try:
-            for statistic in due:
-                table = tables[statistic.name]
-                if combined is None:
-                    new = statistic.contributions(rows, batch)
-                else:
-                    new = statistic.from_combined(combined)
-                table.commit(statistic.add(new, table.read()), query_id, batch_id)
-                if committed is not None:
-                    committed(statistic, table)
-        finally:
-            if combined is not None:
-                combined.unpersist()
+        add_to_tables(rows, statistics, folder, query_id, batch_id, batch, committed)
 
     return start(trips, merge, checkpoint, **options)
 
