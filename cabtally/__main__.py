@@ -22,11 +22,15 @@ def _pairs(texts: list[str]) -> dict[str, str]:
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.text:
-        return open_stream(spark, "text", args.text)
+        return open_stream(spark, "text", args.text, options=_file_options(args))
     options = kafka_source_options(args.servers, args.topic, args.starting, args.per_batch)
     return open_stream(spark, "kafka", options=options)
 
 
+def _file_options(args: argparse.Namespace) -> dict[str, str]:
+    return {"maxFilesPerTrigger": str(args.files_per_batch)} if args.files_per_batch else {}
+
+
 def _committed(args: argparse.Namespace):
     return jobs.copy_to(args.copy_to, **_pairs(args.option)) if args.copy_to else None
 
@@ -47,7 +51,8 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--servers", default="localhost:9092")
         job.add_argument("--topic")
         job.add_argument("--starting", default="latest", help="offsets of the first start")
-        job.add_argument("--per-batch", type=int, default=per_batch, help="messages per batch")
+        job.add_argument("--per-batch", type=int, default=per_batch, help="Kafka messages per batch")
+        job.add_argument("--files-per-batch", type=int)
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--every", help="e.g. '10 seconds'; otherwise take what is there and end")
 
@@ -73,6 +78,7 @@ def parser() -> argparse.ArgumentParser:
     tables(job)
     job.add_argument("--csv", required=True)
     job.add_argument("--checkpoint", required=True)
+    job.add_argument("--files-per-batch", type=int)
     connector(job, "--copy-to")
 
     job = add("stream", help="add messages to statistics")
@@ -137,7 +143,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             ).awaitTermination()
         case "batch":
             jobs.update_from_files(
-                spark, chosen, args.csv, args.tables, args.checkpoint, _committed(args)
+                spark,
+                chosen,
+                args.csv,
+                args.tables,
+                args.checkpoint,
+                _committed(args),
+                _file_options(args),
             ).awaitTermination()
         case "stream":
             jobs.update_from_messages(

@@ -36,13 +36,15 @@ def update_from_files(
     tables: str,
     checkpoint: str,
     committed: Committed | None = None,
+    file_options: dict[str, str] | None = None,
     **options,
 ) -> StreamingQuery:
     """The batch job: add the CSV files that arrived since the last run.
 
     The checkpoint remembers the files, so running the job again counts none twice.
     """
-    rows = lower_case(open_stream(spark, "csv", csv, ddl(wire_fields(TRIP_FIELDS))))
+    schema = ddl(wire_fields(TRIP_FIELDS))
+    rows = lower_case(open_stream(spark, "csv", csv, schema, file_options))
     return merge_stream(
         typed(rows, fields_of(statistics, TRIP_FIELDS)),
         statistics,

@@ -54,23 +54,27 @@ def encode_json(frame: DataFrame) -> DataFrame:
     return lower_case(frame).select(F.to_json(F.struct("*")).alias("value"))
 
 
-def decode_json(messages: DataFrame, fields: Mapping[str, str] = TRIP_FIELDS) -> DataFrame:
-    """Messages (column ``value``, text or bytes) to wire values.
+def decode_json(
+    messages: DataFrame, fields: Mapping[str, str] = TRIP_FIELDS, keep_malformed: bool = False
+) -> DataFrame:
+    """Messages (column ``value``, text or bytes) to wire values. End markers are dropped.
 
-    End markers are dropped. A message that is no JSON object has its text in
-    ``_malformed`` and nulls elsewhere.
+    A value of the wrong kind is null, and so is all of a message that is no JSON object.
+    ``keep_malformed`` adds the text of either in ``_malformed``, which else is null.
     """
-    schema = ddl(wire_fields(fields) | {END_MARKER: "boolean", MALFORMED: "string"})
+    wanted = wire_fields(fields) | {END_MARKER: "boolean"}
+    if keep_malformed:
+        wanted[MALFORMED] = "string"
     record = F.from_json(
-        F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": MALFORMED}
+        F.col("value").cast("string"), ddl(wanted), {"columnNameOfCorruptRecord": MALFORMED}
     )
     # inline() holds the parser in a node of its own: a filter on the fields stays above it,
     # where a plain projection would be merged with the filter and parse each message twice.
+    # Spark does not prune fields through it, so callers pass only those they need.
     rows = messages.select(F.inline(F.array(record)))
     return rows.filter(~F.coalesce(F.col(END_MARKER), F.lit(False))).drop(END_MARKER)
 
 
 def decode_trips(messages: DataFrame, fields: Mapping[str, str] = TRIP_FIELDS) -> DataFrame:
-    """Messages to typed trips; malformed ones are left out."""
-    rows = decode_json(messages, fields)
-    return typed(rows.filter(F.col(MALFORMED).isNull()), fields)
+    """Messages to typed trips."""
+    return typed(decode_json(messages, fields), fields)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cabtally.fixed_values import TRIP_FIELDS
-from cabtally.sources.records import MALFORMED, decode_json, wire_fields
+from cabtally.sources.records import MALFORMED, decode_json
 from cabtally.sources.storage import Storage
 from cabtally.streaming.queries import start
 
@@ -24,25 +26,25 @@ def land_batch(
 
     The files are written aside and appear together, in one rename, so a reader never
     sees a part of a batch. A batch that is there already is left alone: false is
-    returned. Messages that are no JSON go to ``folder/_malformed/batch`` as they came.
+    returned. The text of messages that did not decode in full goes to
+    ``folder/_malformed/batch``; what did decode of them is landed.
     """
     folder = folder.rstrip("/")
-    spark = messages.sparkSession
-    storage = Storage(spark, folder)
+    storage = Storage(messages.sparkSession, folder)
     target = f"{folder}/{batch}"
     if storage.exists(target):
         return False
 
     seen = Observation()
-    decoded = decode_json(messages, fields).observe(
-        seen, F.count(F.col(MALFORMED)).alias("malformed")
-    )
-    records = decoded.filter(F.col(MALFORMED).isNull()).select(*wire_fields(fields))
+    decoded = decode_json(messages, fields, keep_malformed=True)
+    counted = decoded.observe(seen, F.count(F.col(MALFORMED)).alias("malformed"))
+    decodes = reduce(or_, [F.col(name).isNotNull() for name in fields])
+    records = counted.filter(F.col(MALFORMED).isNull() | decodes).select(*fields)
     aside = f"{folder}/_writing/{batch}"
     records.dropDuplicates().write.mode("overwrite").csv(aside, header=True)
     if seen.get["malformed"]:
-        bad = decode_json(messages, fields).filter(F.col(MALFORMED).isNotNull())
-        bad.select(MALFORMED).write.mode("overwrite").text(f"{folder}/_malformed/{batch}")
+        malformed = decoded.select(MALFORMED).na.drop()
+        malformed.write.mode("overwrite").text(f"{folder}/_malformed/{batch}")
     storage.rename(aside, target)
     return True
 

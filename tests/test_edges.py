@@ -240,5 +240,14 @@ def test_end_markers_and_malformed_messages(spark):
     texts = messages(
         spark, '{"vendorid":1}', '{"end_of_stream":true}', '{"end_of_stream":false}', "bad", "[1]"
     )
-    assert decode_json(texts).count() == 4
-    assert sorted(str(r.vendorid) for r in decode_trips(texts).collect()) == ["1", "None"]
+    decoded = decode_json(texts, keep_malformed=True)
+    assert [r._malformed for r in decoded.collect()] == [None, None, "bad", "[1]"]
+    assert [r.vendorid for r in decode_trips(texts).collect()] == [1, None, None, None]
+
+
+def test_a_value_of_the_wrong_kind_does_not_cost_the_others(spark):
+    texts = messages(spark, '{"passenger_count":"many","payment_type":2}')
+    row = decode_trips(texts).first()
+    assert (row.passenger_count, row.payment_type) == (None, 2)
+    assert rows(PAYMENT_TYPE.totals(decode_trips(texts))) == [(2, 1)]
+    assert rows(PASSENGERS.totals(decode_trips(texts))) == []

@@ -205,10 +205,13 @@ def test_a_batch_that_is_being_written_is_not_read(spark, folder, small):
 
 
 def test_malformed_messages_are_kept_aside(spark, folder, small):
-    bad = spark.createDataFrame([("bad",), ('{"trip_id":',)], "value string")
+    partly = '{"trip_id":5000,"payment_type":"cash"}'
+    bad = spark.createDataFrame([("bad",), ('{"trip_id":',), (partly,)], "value string")
     land_batch(encode_json(small).unionByName(bad), f"{folder}/landed", "b", FIELDS)
-    assert landed(spark, folder).count() == 1000
-    assert rows(spark.read.text(f"{folder}/landed/_malformed/b")) == [("bad",), ('{"trip_id":',)]
+    assert landed(spark, folder).count() == 1001
+    assert landed(spark, folder).filter("trip_id = 5000").count() == 1
+    kept = sorted(r[0] for r in spark.read.text(f"{folder}/landed/_malformed/b").collect())
+    assert kept == sorted(["bad", '{"trip_id":', partly])
     land_batch(encode_json(small), f"{folder}/landed", "c", FIELDS)
     assert Storage(spark, folder).names(f"{folder}/landed/_malformed") == ["b"]
 
