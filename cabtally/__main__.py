@@ -6,13 +6,14 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cabtally.fixed_values import LANDING_BATCH
+from cabtally.fixed_values import LANDING_BATCH, PREVIEW_ROWS
 from cabtally.operators import reports
 from cabtally.operators.statistics import REVENUE_PER_DAY, STATISTICS
 from cabtally.plans import jobs
 from cabtally.sources.files import import_table, jdbc_options
 from cabtally.sources.records import decode_trips
 from cabtally.sources.streams import kafka_sink_options, kafka_source_options, open_stream
+from cabtally.streaming.landing import land_stream
 from cabtally.streaming.statistics import latest, open_table, running_totals_stream
 
 
@@ -51,7 +52,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--servers", default="localhost:9092")
         job.add_argument("--topic")
         job.add_argument("--starting", default="latest", help="offsets of the first start")
-        job.add_argument("--per-batch", type=int, default=per_batch, help="Kafka messages per batch")
+        job.add_argument("--per-batch", type=int, default=per_batch, help="messages, for Kafka")
         job.add_argument("--files-per-batch", type=int)
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--every", help="e.g. '10 seconds'; otherwise take what is there and end")
@@ -64,6 +65,10 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument(name, required=required, help="format of a connector with keyed tables")
         job.add_argument("--option", action="append", default=[], help="key=value")
 
+    def trips(job: argparse.ArgumentParser) -> None:
+        job.add_argument("--trips", required=True, help="folder of trip files")
+        job.add_argument("--kind", default="csv", choices=["csv", "parquet"])
+
     job = add("publish", help="CSV files to JSON messages")
     job.add_argument("--csv", required=True)
     job.add_argument("--text", help="folder for message files; otherwise Kafka")
@@ -76,7 +81,7 @@ def parser() -> argparse.ArgumentParser:
 
     job = add("batch", help="add new CSV files to statistics")
     tables(job)
-    job.add_argument("--csv", required=True)
+    trips(job)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--files-per-batch", type=int)
     connector(job, "--copy-to")
@@ -101,22 +106,25 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--tables", required=True)
 
     job = add("stages", help="row counts of the revenue stages")
-    job.add_argument("--csv", required=True)
+    trips(job)
     job.add_argument("--tables", required=True)
 
     for name, text in (("heat", "trips per point"), ("locations", "zones that occur")):
         job = add(name, help=text)
         job.add_argument("place", choices=list(jobs.LOCATIONS))
-        job.add_argument("--csv", required=True)
+        trips(job)
         job.add_argument("--zones", required=True)
         job.add_argument("--out", required=True)
 
-    job = add("store", help="trips with duration and id, as Parquet")
+    job = add("store", help="append new CSV files to the Parquet trip store")
     job.add_argument("--csv", required=True)
     job.add_argument("--out", required=True)
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--files-per-batch", type=int)
 
     job = add("preview", help="show the first trips of a store")
     job.add_argument("--store", required=True)
+    job.add_argument("--rows", type=int, default=PREVIEW_ROWS)
 
     job = add("import", help="copy a JDBC table")
     job.add_argument("--url", required=True)
@@ -132,22 +140,27 @@ def parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     chosen = [STATISTICS[name] for name in getattr(args, "statistic", [])]
+
+    def stored() -> DataFrame:
+        return jobs.read_stored(spark, args.trips, args.kind)
+
     match args.job:
         case "publish":
             kind = "text" if args.text else "kafka"
             options = {} if args.text else kafka_sink_options(args.servers, args.topic)
             jobs.publish_files(spark, args.csv, kind, args.text, options)
         case "land":
-            jobs.land_messages(
+            land_stream(
                 _messages(spark, args), args.out, args.checkpoint, every=args.every
             ).awaitTermination()
         case "batch":
             jobs.update_from_files(
                 spark,
                 chosen,
-                args.csv,
+                args.trips,
                 args.tables,
                 args.checkpoint,
+                args.kind,
                 _committed(args),
                 _file_options(args),
             ).awaitTermination()
@@ -178,15 +191,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             totals = open_table(spark, args.tables, REVENUE_PER_DAY).read()
             _print(reports.ordered_report(totals))
         case "stages":
-            _print(jobs.revenue_stages(spark, args.csv, args.tables))
+            _print(jobs.revenue_stages(stored(), args.tables))
         case "heat":
-            jobs.heat_points(spark, args.csv, args.zones, args.place).write.parquet(args.out)
+            jobs.heat_points(stored(), args.zones, args.place).write.parquet(args.out)
         case "locations":
-            jobs.location_table(spark, args.csv, args.zones, args.place).write.parquet(args.out)
+            jobs.location_table(stored(), args.zones, args.place).write.parquet(args.out)
         case "store":
-            jobs.write_trip_store(spark, args.csv, args.out)
+            jobs.update_trip_store(
+                spark, args.csv, args.out, args.checkpoint, _file_options(args)
+            ).awaitTermination()
         case "preview":
-            _print(reports.preview(spark.read.parquet(args.store), "id"))
+            _print(reports.preview(spark.read.parquet(args.store), "id", args.rows))
         case "import":
             options = jdbc_options(
                 args.url,

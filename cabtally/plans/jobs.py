@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,45 +16,78 @@ from cabtally.sources.files import read_csv, read_trips, read_zones
 from cabtally.sources.records import ddl, decode_trips, lower_case, typed, wire_fields
 from cabtally.sources.streams import open_stream, publish
 from cabtally.sources.tables import SnapshotTable, read_keyed, upsert_keyed
-from cabtally.streaming.landing import land_stream
 from cabtally.streaming.statistics import Committed, merge_stream, open_table
 
 LOCATIONS = {"pickup": "pulocationid", "dropoff": "dolocationid"}
 
 
-def publish_files(spark: SparkSession, csv: str, kind: str, path: str | None, options: dict) -> None:
+def publish_files(
+    spark: SparkSession, csv: str, kind: str, path: str | None, options: dict[str, str]
+) -> None:
     """CSV files to messages, as they are: numbers and texts, names in lower case."""
     publish(read_csv(spark, csv), kind, path, options)
 
 
-def land_messages(messages: DataFrame, folder: str, checkpoint: str, **options) -> StreamingQuery:
-    return land_stream(messages, folder, checkpoint, **options)
+def read_stored(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
+    """All trips of landed CSV files, or of a Parquet trip store.
+
+    The store has the trip's own types, so filters and columns reach its scan.
+    """
+    return read_trips(spark, path) if kind == "csv" else spark.read.parquet(path)
+
+
+def follow_stored(
+    spark: SparkSession,
+    path: str,
+    kind: str = "csv",
+    fields: Mapping[str, str] = TRIP_FIELDS,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """The same trips as an unbounded frame that takes up new files."""
+    if kind == "csv":
+        schema = ddl(wire_fields(TRIP_FIELDS))
+        return typed(lower_case(open_stream(spark, "csv", path, schema, options)), fields)
+    # Not recursive: the store is written by a stream, whose log names its files.
+    options = {"recursiveFileLookup": "false"} | (options or {})
+    schema = spark.read.parquet(path).schema
+    return open_stream(spark, kind, path, schema, options).select(*fields)
+
+
+def update_trip_store(
+    spark: SparkSession,
+    csv: str,
+    store: str,
+    checkpoint: str,
+    options: dict[str, str] | None = None,
+) -> StreamingQuery:
+    """Append new CSV files to the Parquet trip store, with duration and id.
+
+    The sink's log makes this exact also after a failure, and each id is drawn once.
+    """
+    trips = reports.trip_store(follow_stored(spark, csv, options=options))
+    writer = trips.writeStream.format("parquet").option("path", store)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def update_from_files(
     spark: SparkSession,
     statistics: list[Statistic],
-    csv: str,
+    path: str,
     tables: str,
     checkpoint: str,
+    kind: str = "csv",
     committed: Committed | None = None,
     file_options: dict[str, str] | None = None,
     **options,
 ) -> StreamingQuery:
-    """The batch job: add the CSV files that arrived since the last run.
+    """The batch job: add the trips that arrived as files since the last run.
 
     The checkpoint remembers the files, so running the job again counts none twice.
     """
-    schema = ddl(wire_fields(TRIP_FIELDS))
-    rows = lower_case(open_stream(spark, "csv", csv, schema, file_options))
+    fields = fields_of(statistics, TRIP_FIELDS)
+    rows = follow_stored(spark, path, kind, fields, file_options)
     return merge_stream(
-        typed(rows, fields_of(statistics, TRIP_FIELDS)),
-        statistics,
-        tables,
-        checkpoint,
-        batch=True,
-        committed=committed,
-        **options,
+        rows, statistics, tables, checkpoint, batch=True, committed=committed, **options
     )
 
 
@@ -89,23 +124,21 @@ def seed_from(
     )
 
 
-def write_trip_store(spark: SparkSession, csv: str, path: str) -> None:
-    """Trips with duration and id as Parquet; the ids are drawn here, once."""
-    reports.trip_store(read_trips(spark, csv)).write.mode("errorifexists").parquet(path)
+def heat_points(trips: DataFrame, zones: str, place: str) -> DataFrame:
+    return geo.heat_points(trips, read_zones(trips.sparkSession, zones), LOCATIONS[place])
 
 
-def heat_points(spark: SparkSession, csv: str, zones: str, place: str) -> DataFrame:
-    return geo.heat_points(read_trips(spark, csv), read_zones(spark, zones), LOCATIONS[place])
+def location_table(trips: DataFrame, zones: str, place: str) -> DataFrame:
+    return geo.location_table(trips, read_zones(trips.sparkSession, zones), LOCATIONS[place])
 
 
-def location_table(spark: SparkSession, csv: str, zones: str, place: str) -> DataFrame:
-    return geo.location_table(read_trips(spark, csv), read_zones(spark, zones), LOCATIONS[place])
+def revenue_stages(trips: DataFrame, tables: str) -> DataFrame:
+    """Row counts after each stage of adding trips to the revenue per day; writes nothing."""
+    stored = open_table(trips.sparkSession, tables, REVENUE_PER_DAY).read()
+    return stages_of(REVENUE_PER_DAY.totals(trips, batch=True), stored)
 
 
-def revenue_stages(spark: SparkSession, csv: str, tables: str) -> DataFrame:
-    """Row counts after each stage of adding files to the revenue per day; writes nothing."""
-    stored = open_table(spark, tables, REVENUE_PER_DAY).read()
-    new = REVENUE_PER_DAY.totals(read_trips(spark, csv), batch=True)
+def stages_of(new: DataFrame, stored: DataFrame) -> DataFrame:
     both = REVENUE_PER_DAY.add(new, stored)
     return reports.stage_row_counts(
         {

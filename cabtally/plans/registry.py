@@ -22,7 +22,6 @@ from cabtally.operators.statistics import (
     REVENUE_PER_WEEK,
     Statistic,
     fields_of,
-    with_date,
 )
 from cabtally.plans.fixtures import (
     FIELDS,
@@ -32,6 +31,7 @@ from cabtally.plans.fixtures import (
     with_end_markers,
     zones,
 )
+from cabtally.plans.jobs import stages_of
 from cabtally.sources.files import read_trips
 from cabtally.sources.records import decode_trips, encode_json
 from cabtally.sources.storage import scratch_folder
@@ -171,17 +171,7 @@ def preview_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = REVENUE_PER_DAY.totals(trips(spark, sf_dir, "stored"), batch=True)
     new = REVENUE_PER_DAY.totals(trips(spark, sf_dir, "new"), batch=True)
-    both = REVENUE_PER_DAY.add(new, stored)
-    dated = with_date(both)
-    return reports.stage_row_counts(
-        {
-            "new": new,
-            "stored": stored,
-            "merged": both,
-            "dated": dated,
-            "published": REVENUE_PER_DAY.present(both),
-        }
-    )
+    return stages_of(new, stored)
 
 
 QUERIES: dict[str, Query] = {

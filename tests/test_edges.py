@@ -112,8 +112,8 @@ def test_revenue_filter_is_strict_and_for_batches_only(make):
         trip("2018-01-01 00:00:00", "2018-01-01 00:10:00", amount=1.0),
         trip("2018-01-01 00:00:01", "2018-01-01 00:10:00", amount=2.0),
     )
-    assert [float(r.total_amount) for r in REVENUE_PER_DAY.totals(rides, batch=True).collect()] == [2]
-    assert [float(r.total_amount) for r in REVENUE_PER_DAY.totals(rides).collect()] == [3]
+    assert REVENUE_PER_DAY.totals(rides, batch=True).first().total_amount == 2
+    assert REVENUE_PER_DAY.totals(rides).first().total_amount == 3
 
 
 def test_revenue_goes_by_the_day_of_dropoff(make):

@@ -10,8 +10,8 @@ from cabtally.sources.streams import kafka_sink_options, kafka_source_options
 
 HEADER = (
     "VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,RatecodeID,"
-    "store_and_fwd_flag,PULocationID,DOLocationID,payment_type,fare_amount,extra,mta_tax,tip_amount,"
-    "tolls_amount,improvement_surcharge,total_amount,congestion_surcharge"
+    "store_and_fwd_flag,PULocationID,DOLocationID,payment_type,fare_amount,extra,mta_tax,"
+    "tip_amount,tolls_amount,improvement_surcharge,total_amount,congestion_surcharge"
 )
 LINE = "1,2024-01-01 00:57:55,2024-01-01 01:17:43,1,1.72,1,N,186,79,2,17.7,1,0.5,0,0,1,22.7,2.5"
 GAPS = "2,2024-01-01 00:57:55,2024-01-01 01:17:43,1.0,,,,186,79,,17.7,1,0.5,0,0,1,NaN,"

@@ -1,6 +1,5 @@
 """Streams over message and trip files: equal to batch, restartable, safe to replay."""
 
-import glob
 import os
 import time
 
@@ -78,21 +77,34 @@ def test_restart_takes_only_what_is_new(spark, folder, small, inbox):
 
 
 def test_replayed_batch_counts_once(spark, folder, small, inbox):
-    """The commit marks of the last batches are lost, so the stream runs them again."""
+    """The mark that the last batch ended is lost, so the stream runs that batch again."""
     table = open_table(spark, folder, PASSENGERS)
+    merged, replays = [], []
 
-    def run():
+    def run(seen):
         merge_stream(
-            trip_stream(spark, inbox), [PASSENGERS, PAYMENT_TYPE], folder, f"{folder}/checkpoint"
+            trip_stream(spark, inbox),
+            [PASSENGERS, PAYMENT_TYPE],
+            folder,
+            f"{folder}/checkpoint",
+            committed=lambda statistic, table: merged.append(statistic.name),
+        ).awaitTermination()
+        start(
+            open_stream(spark, "text", inbox, options=ONE_FILE),
+            lambda rows, batch, query: seen.append((query, batch)),
+            f"{folder}/control",
         ).awaitTermination()
 
-    run()
+    first = []
+    run(first)
     before, version = rows(table.read()), table._state().version
-    for mark in glob.glob(f"{folder.removeprefix('file://')}/checkpoint/commits/*3*"):
-        os.remove(mark)
-    for mark in glob.glob(f"{folder.removeprefix('file://')}/checkpoint/commits/.*3*"):
-        os.remove(mark)
-    run()
+    assert [batch for _, batch in first] == [0, 1, 2, 3] and len(merged) == 8
+    for checkpoint in ("checkpoint", "control"):
+        for mark in (".3.crc", "3"):
+            os.remove(f"{folder.removeprefix('file://')}/{checkpoint}/commits/{mark}")
+    run(replays)
+    assert replays == first[-1:]
+    assert len(merged) == 8
     assert rows(table.read()) == before and table._state().version == version
 
 
@@ -244,23 +256,30 @@ def test_from_files_to_statistics(spark, folder, small, capsys):
         run("land", "--text", "{}/messages", "--out", "{}/landed", "--checkpoint", "{}/c1")
         for _ in range(2):
             run("batch", "passengers", "revenue-per-day", "revenue-per-week", "distance",
-                "--csv", "{}/landed", "--tables", "{}/tables", "--checkpoint", "{}/c2",
+                "--trips", "{}/landed", "--tables", "{}/tables", "--checkpoint", "{}/c2",
                 "--copy-to", "parquet", "--option", "path={}/copy")
+            run("store", "--csv", "{}/landed", "--out", "{}/store", "--checkpoint", "{}/c5")
+            run("batch", "distance", "passengers", "--trips", "{}/store", "--kind", "parquet",
+                "--tables", "{}/from-store", "--checkpoint", "{}/c6")
         once = full if not again else full.union(full)
         for name in ("passengers", "revenue-per-day", "revenue-per-week", "distance"):
             statistic = STATISTICS[name]
             assert rows(latest(spark, f"{folder}/tables", statistic)) == rows(
                 statistic.present(statistic.totals(once, batch=True))
             ), name
+        for name in ("passengers", "distance"):
+            statistic = STATISTICS[name]
+            assert rows(latest(spark, f"{folder}/from-store", statistic)) == rows(
+                statistic.present(statistic.totals(once))
+            ), name
     run("stream", "pickup-hour", "--text", "{}/messages", "--tables", "{}/tables",
         "--checkpoint", "{}/c3")
     run("running", "payment-type", "--text", "{}/messages", "--tables", "{}/tables",
         "--checkpoint", "{}/c4")
     run("show", "pickup-hour", "payment-type", "--tables", "{}/tables")
     run("report", "--tables", "{}/tables")
-    run("stages", "--csv", "{}/landed", "--tables", "{}/tables")
-    run("store", "--csv", "{}/landed", "--out", "{}/store")
-    run("preview", "--store", "{}/store")
+    run("stages", "--trips", "{}/store", "--kind", "parquet", "--tables", "{}/tables")
+    run("preview", "--store", "{}/store", "--rows", "5")
     shown = capsys.readouterr().out
     assert "23:00" in shown and "Credit card" in shown and "published" in shown
     assert spark.read.parquet(f"{folder}/store").select("id").distinct().count() == 2000
@@ -268,8 +287,8 @@ def test_from_files_to_statistics(spark, folder, small, capsys):
     zone = "LocationID,Borough,Zone,service_zone,latitude,longitude\n3,B,Z,S,40.5,-74.5\n"
     with open(f"{folder.removeprefix('file://')}/zones.csv", "w") as file:
         file.write(zone)
-    run("heat", "pickup", "--csv", "{}/raw", "--zones", "{}/zones.csv", "--out", "{}/heat")
+    run("heat", "pickup", "--trips", "{}/raw", "--zones", "{}/zones.csv", "--out", "{}/heat")
     visits = small.filter("pulocationid = 3").count()
     assert rows(spark.read.parquet(f"{folder}/heat")) == [(40.5, -74.5, visits)]
-    run("locations", "dropoff", "--csv", "{}/raw", "--zones", "{}/zones.csv", "--out", "{}/where")
+    run("locations", "dropoff", "--trips", "{}/raw", "--zones", "{}/zones.csv", "--out", "{}/where")
     assert spark.read.parquet(f"{folder}/where").count() == 26

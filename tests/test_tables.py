@@ -123,8 +123,8 @@ def test_connector_tables_receive_presented_totals(spark, folder):
 
 
 def test_totals_are_taken_over_from_a_connector_table(spark, folder):
-    text_keys = spark.createDataFrame([("2", 7, 1), ("10", 3, 1)],
-                                      "passenger_number string, count int, partition_key int")
+    schema = "passenger_number string, count int, partition_key int"
+    text_keys = spark.createDataFrame([("2", 7, 1), ("10", 3, 1)], schema)
     upsert_keyed(text_keys, "parquet", path=f"{folder}/source")
     seed_from(spark, PASSENGERS, f"{folder}/stats", "parquet", path=f"{folder}/source")
     seeded = open_table(spark, f"{folder}/stats", PASSENGERS).read()
