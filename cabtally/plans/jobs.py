@@ -105,7 +105,7 @@ def update_from_messages(
 
 
 def copy_to(format: str, **options: str) -> Committed:
-    """Copies a statistic to the connector table of its name after each commit."""
+    """Copies a statistic to the connector table of its name after each update."""
 
     def copy(statistic: Statistic, table: SnapshotTable) -> None:
         upsert_keyed(statistic.present(table.read()), format, table=statistic.name, **options)
@@ -119,9 +119,8 @@ def seed_from(
     """Take over the totals of a connector table, whatever the types of its columns."""
     rows = read_keyed(spark, format, **({"table": statistic.name} | options))
     columns = StructType.fromDDL(statistic.schema)
-    open_table(spark, tables, statistic).commit(
-        rows.select(*[F.col(c.name).try_cast(c.dataType).alias(c.name) for c in columns])
-    )
+    totals = rows.select(*[F.col(c.name).try_cast(c.dataType).alias(c.name) for c in columns])
+    open_table(spark, tables, statistic).update(lambda stored: totals)
 
 
 def heat_points(trips: DataFrame, zones: str, place: str) -> DataFrame:

@@ -44,7 +44,11 @@ class Storage:
             stream.write(text.encode())
         finally:
             stream.close()
-        self.rename(draft, path)
+        try:
+            self.rename(draft, path)
+        except FileExistsError:
+            self.delete(draft)
+            raise
 
     def rename(self, source: str, target: str) -> None:
         """Move a file or folder in one step; refuses to replace anything."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def add_to_tables(
                 new = statistic.contributions(trips, batch)
             else:
                 new = statistic.from_combined(combined)
-            table.commit(statistic.add(new, table.read()), stream, batch_id)
+            table.update(partial(statistic.add, new), stream, batch_id)
             if committed is not None:
                 committed(statistic, table)
     finally:
@@ -67,7 +68,7 @@ def merge_stream(
     """Add each micro-batch of ``trips`` to the stored totals of ``statistics``.
 
     The source is read once, however many statistics there are. With ``batch`` the
-    batch filters apply, as for files. ``committed`` is called after each commit, for
+    batch filters apply, as for files. ``committed`` is called after each update, for
     example to copy the totals to a connector table; after a failure it may be missed
     for a batch, and the next batch makes up for it.
     """
@@ -96,7 +97,7 @@ def running_totals_stream(
     keys = list(statistic.keys)
 
     def replace(changes: DataFrame, batch_id: int, query_id: str) -> None:
-        table.commit(upsert(table.read(), changes, keys), query_id, batch_id)
+        table.update(lambda stored: upsert(stored, changes, keys), query_id, batch_id)
 
     totals = statistic.totals(trips)
     return start(totals, replace, checkpoint, mode="update", partitions=partitions, **options)

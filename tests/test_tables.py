@@ -7,7 +7,7 @@ import pytest
 from cabtally.operators.statistics import PASSENGERS, PAYMENT_TYPE
 from cabtally.plans.jobs import copy_to, seed_from
 from cabtally.sources.storage import Storage, scratch_folder, shared_folder
-from cabtally.sources.tables import SnapshotTable, read_keyed, upsert_keyed
+from cabtally.sources.tables import KEPT_VERSIONS, SnapshotTable, read_keyed, upsert_keyed
 from cabtally.streaming.statistics import open_table
 
 SCHEMA = "k int, n bigint"
@@ -17,6 +17,10 @@ def rows(frame):
     return sorted(map(tuple, frame.collect()))
 
 
+def put(table, frame, *batch):
+    return table.update(lambda content: frame, *batch)
+
+
 def make(spark, *values):
     return spark.createDataFrame(list(values), SCHEMA)
 
@@ -36,63 +40,79 @@ def test_a_new_table_is_empty_and_typed(table):
 
 
 def test_commit_replaces_the_content_it_is_computed_from(spark, table):
-    table.commit(make(spark, (1, 1)))
-    table.commit(table.read().unionByName(make(spark, (2, 2))))
+    put(table, make(spark, (1, 1)))
+    table.update(lambda content: content.unionByName(make(spark, (2, 2))))
     assert rows(table.read()) == [(1, 1), (2, 2)]
 
 
 def test_a_repeated_batch_is_skipped(spark, table):
-    assert table.commit(make(spark, (1, 1)), "s", 0)
-    assert table.commit(make(spark, (1, 2)), "s", 1)
+    assert put(table, make(spark, (1, 1)), "s", 0)
+    assert put(table, make(spark, (1, 2)), "s", 1)
     for batch in (0, 1):
         assert table.has("s", batch)
-        assert not table.commit(make(spark, (1, 99)), "s", batch)
+        assert not put(table, make(spark, (1, 99)), "s", batch)
     assert rows(table.read()) == [(1, 2)]
     assert not table.has("s", 2)
 
 
 def test_streams_count_their_batches_apart(spark, table):
-    table.commit(make(spark, (1, 1)), "old checkpoint", 5)
-    assert table.commit(make(spark, (1, 2)), "new checkpoint", 0)
+    put(table, make(spark, (1, 1)), "old checkpoint", 5)
+    assert put(table, make(spark, (1, 2)), "new checkpoint", 0)
     assert table.has("old checkpoint", 5) and not table.has("new checkpoint", 1)
-    table.commit(make(spark, (1, 3)))
+    put(table, make(spark, (1, 3)))
     assert table.has("old checkpoint", 5) and table.has("new checkpoint", 0)
 
 
 def test_the_state_outlives_the_object(spark, folder, table):
-    table.commit(make(spark, (1, 1)), "s", 3)
+    put(table, make(spark, (1, 1)), "s", 3)
     again = SnapshotTable(spark, f"{folder}/table", SCHEMA)
     assert again.has("s", 3) and rows(again.read()) == [(1, 1)]
 
 
-def test_old_versions_go_but_the_previous_one_stays(spark, tmp_path, table):
-    table.commit(make(spark, (1, 0)))
-    for n in range(1, 5):
+def test_old_versions_go_but_earlier_ones_stay(spark, tmp_path, table):
+    put(table, make(spark, (1, 0)))
+    for n in range(1, KEPT_VERSIONS + 3):
         previous = table.read()
-        table.commit(make(spark, (1, n)))
+        put(table, make(spark, (1, n)))
         assert rows(previous) == [(1, n - 1)]
-    assert len(folders(tmp_path)) == 2
-    commits = [n for n in os.listdir(tmp_path / "table" / "_commits") if n.endswith(".json")]
-    assert sorted(n for n in commits if n[0] != ".") == ["0000000004.json", "0000000005.json"]
+    assert len(folders(tmp_path)) == KEPT_VERSIONS
+    commits = [n for n in os.listdir(tmp_path / "table" / "_commits") if n[0] != "."]
+    assert len(commits) == KEPT_VERSIONS
 
 
 def test_a_write_that_failed_before_its_commit_is_not_seen(spark, tmp_path, table):
-    table.commit(make(spark, (1, 1)), "s", 0)
+    put(table, make(spark, (1, 1)), "s", 0)
     make(spark, (1, 99)).write.parquet(f"{tmp_path}/table/version-0000000002-lost")
     assert rows(table.read()) == [(1, 1)]
-    assert table.commit(make(spark, (1, 2)), "s", 1)
+    assert put(table, make(spark, (1, 2)), "s", 1)
     assert rows(table.read()) == [(1, 2)]
-    table.commit(make(spark, (1, 3)))
-    table.commit(make(spark, (1, 4)))
-    assert len(folders(tmp_path)) == 2
+    for n in range(KEPT_VERSIONS):
+        put(table, make(spark, (1, n)))
+    assert not [name for name in folders(tmp_path) if name.endswith("lost")]
 
 
-def test_of_two_writers_at_once_one_fails(spark, folder, table):
+def test_a_writer_that_comes_second_starts_again_from_the_new_content(spark, folder, table):
+    other = SnapshotTable(spark, f"{folder}/table", SCHEMA)
+    tries = []
+
+    def add_late(content):
+        if not tries:
+            put(table, make(spark, (1, 1)), "first", 0)
+        tries.append(rows(content))
+        return content.unionByName(make(spark, (2, 2)))
+
+    assert other.update(add_late, "second", 0)
+    assert tries == [[], [(1, 1)]]
+    assert rows(table.read()) == [(1, 1), (2, 2)]
+    assert table.has("first", 0) and table.has("second", 0)
+
+
+def test_a_table_that_never_rests_is_given_up(spark, folder, table):
     other = SnapshotTable(spark, f"{folder}/table", SCHEMA)
     other._state = lambda state=other._state(): state
-    table.commit(make(spark, (1, 1)))
-    with pytest.raises(FileExistsError):
-        other.commit(make(spark, (1, 2)))
+    put(table, make(spark, (1, 1)))
+    with pytest.raises(RuntimeError):
+        put(other, make(spark, (1, 2)))
     assert rows(table.read()) == [(1, 1)]
 
 
@@ -115,7 +135,7 @@ def test_scratch_lies_in_the_folder_the_session_names(spark):
 def test_connector_tables_receive_presented_totals(spark, folder):
     statistic = PAYMENT_TYPE
     table = open_table(spark, f"{folder}/stats", statistic)
-    table.commit(spark.createDataFrame([(1, 5), (9, 1)], statistic.schema))
+    put(table, spark.createDataFrame([(1, 5), (9, 1)], statistic.schema))
     copy_to("parquet", path=f"{folder}/copy")(statistic, table)
     copied = read_keyed(spark, "parquet", path=f"{folder}/copy")
     assert copied.columns == ["payment_type", "count", "payment_type_name", "partition_key"]
