@@ -14,7 +14,6 @@ class Storage:
     def __init__(self, spark: SparkSession, path: str):
         context = spark.sparkContext
         self._hadoop = context._jvm.org.apache.hadoop
-        self._bytes = context._jvm.java.nio.charset.StandardCharsets.UTF_8
         self._fs = self._path(path).getFileSystem(context._jsc.hadoopConfiguration())
 
     def _path(self, path: str):
@@ -52,11 +51,13 @@ class Storage:
 
     def rename(self, source: str, target: str) -> None:
         """Move a file or folder in one step; refuses to replace anything."""
-        parent = self._path(target).getParent()
-        self._fs.mkdirs(parent)
+        self.make_folder(target.rpartition("/")[0])
         if self.exists(target) or not self._fs.rename(self._path(source), self._path(target)):
             raise FileExistsError(f"{target} exists; is there a second writer?")
 
+    def make_folder(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
@@ -86,6 +87,6 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared one, deleted when the driver ends."""
     path = f"{shared_folder(spark).rstrip('/')}/cabtally/{purpose}-{uuid.uuid4().hex}"
     storage = Storage(spark, path)
-    storage._fs.mkdirs(storage._path(path))
+    storage.make_folder(path)
     storage.delete_on_exit(path)
     return path
