@@ -4,9 +4,8 @@ import pytest
 from oracle_check import assert_same, connect
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+from cabtally.plans.oracle import ORACLE
+from cabtally.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,8 @@ def duck(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
