@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from cabtally.llm import exact_dedup
+from cabtally.llm import bpe, exact_dedup, mixing, simhash
 
-QUERIES = {"op7_exact_dedup": exact_dedup.op7_exact_dedup}
+QUERIES = {
+    "op2_mix_sources": mixing.op2_mix_sources,
+    "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
+    "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
+}
 
-ORACLE = {"op7_exact_dedup": exact_dedup.SQL}
+#: The others have no equivalent in SQL; tests compare them with brute force.
+ORACLE = {"op2_mix_sources": mixing.SQL, "op7_exact_dedup": exact_dedup.SQL}
