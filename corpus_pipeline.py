@@ -1,11 +1,25 @@
-"""A training corpus from the documents: stages that each apply one operator."""
+"""A training corpus from the documents: stages that each apply one operator.
+
+Toxic documents go, then copies, then near copies; what is left is mixed to the sources'
+target weights, which repeats documents, and encoded. Every stage reads what the one before
+it has written.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cabtally.llm.common import stored
+from cabtally.llm.bpe import encode, tokenizer_path
+from cabtally.llm.common import stored, table
 from cabtally.llm.exact_dedup import exact_dedup
+from cabtally.llm.mixing import mix
+from cabtally.llm.simhash import near_dedup
+from cabtally.llm.toxicity import clean_documents
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go. The classifier learns from ``labels`` and docs."""
+    return clean_documents(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,14 +27,40 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup(docs)
 
 
-STAGES = [("exact_dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints one document stays."""
+    return near_dedup(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time the mix takes a document, in shuffled shards."""
+    return mix(docs)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, source, lang, n_tokens, token_ids`` of each row of the mix."""
+    encoded = encode(docs.select("doc_id", "source", "lang", "text"), tokenizer_path())
+    return encoded.selectExpr(
+        "doc_id", "source", "lang", "cast(size(token_ids) AS bigint) AS n_tokens", "token_ids"
+    )
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("mix_sources", mix_sources),
+    ("bpe_encode", encode_texts),
+]
 
 #: The stages have no equivalent in SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    docs = table(spark, sf_dir, "documents")
+    for number, (name, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = stored(docs, f"pipeline-{name}")
     return docs
