@@ -92,13 +92,12 @@ def _mask(first: int, width: int) -> int:
 def variants(fps: DataFrame) -> DataFrame:
     """``(variant, fp)``: for each block the fingerprint without it and all that differ
     from that in one bit. The lowest bits of the block left out tell the blocks apart."""
-    kept = []
+    every = []
     for number, (first, width) in enumerate(BLOCKS):
         rest = F.col("fp").bitwiseAND(F.lit(~_mask(first, width))).bitwiseOR(F.lit(number << first))
         bits = [b for b in range(64) if not first <= b < first + width]
-        flips = F.array(*[F.lit(_mask(b, 1)) for b in bits])
-        kept.append(F.concat(F.array(rest), F.transform(flips, lambda f, r=rest: r.bitwiseXOR(f))))
-    return fps.select(F.explode(F.concat(*kept)).alias("variant"), "fp")
+        every += [rest, *(rest.bitwiseXOR(F.lit(_mask(b, 1))) for b in bits)]
+    return fps.select(F.explode(F.array(*every)).alias("variant"), "fp")
 
 
 def _labels(fps: np.ndarray) -> np.ndarray:
@@ -154,7 +153,10 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def linked(fps: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` that connect the distinct fingerprints ``fp`` linked within RADIUS:
     the same components as all links have, but not each link."""
-    met = variants(fps).repartition("variant").sortWithinPartitions("variant", "fp")
+    # A few bytes become many, so all cores should make them.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = fps.repartition(parts, "fp")
+    met = variants(spread).repartition("variant").sortWithinPartitions("variant", "fp")
     return met.mapInArrow(_edges, "a long, b long").distinct()
 
 
