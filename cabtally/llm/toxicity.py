@@ -28,11 +28,16 @@ from pyspark.sql import functions as F
 
 from cabtally.llm.common import numbered, stored, table
 
-#: Mined voters, and how many toxic documents each has to be found in.
+#: Mined voters, how many toxic documents each has to be found in at least, and how many
+#: times as often as in clean ones.
 MINED = 150
 SUPPORT = 5
+ODDS = 20
 #: Rounds of estimating accuracies before and after correlations are known.
 ROUNDS = 5
+#: Correlation from which two voters say the same. Below it, it is mostly that documents
+#: differ in language or in length, not that voters see the same words.
+CORRELATED = 0.4
 #: Documents of either posterior label that the classifier is fitted on, at most.
 SAMPLE = 5000
 #: Word beginnings that are features beside whole words, by length.
@@ -98,7 +103,7 @@ def mined_voters(labelled: DataFrame, toxic: int, clean: int) -> list[str]:
     ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
     best = (
         feature_counts(labelled)
-        .where((F.col("toxic") >= SUPPORT) & (ratio > 4))
+        .where((F.col("toxic") >= SUPPORT) & (ratio > ODDS))
         .orderBy((F.col("toxic") * F.log(ratio)).desc(), "feature")
         .limit(MINED)
     )
@@ -136,22 +141,22 @@ def votes(documents: DataFrame, mined: list[str]) -> DataFrame:
 
 
 class LabelModel:
-    """Voters that fire independently given the label, but for the correlations found."""
+    """Voters that fire or abstain, independently given the label but for the correlations
+    found. ``silent`` has the shares of toxic and of clean documents on which none fires;
+    these and the prior are given, since votes alone cannot tell them."""
 
-    def __init__(self, prior: float, toxic: np.ndarray, clean: np.ndarray):
-        self.prior, self.toxic, self.clean = prior, toxic, clean
+    def __init__(self, prior: float, silent: tuple[float, float], toxic: np.ndarray, clean: np.ndarray):
+        self.prior, self.silent, self.toxic, self.clean = prior, silent, toxic, clean
         self.share = np.ones(len(toxic))  # what is left of a voter's weight
         self.correlations: dict[tuple[int, int], float] = {}
 
     def posterior(self, hits: str = "hits") -> Column:
-        """Probability of toxic given which voters fired. A silent voter says little on its
-        own and there are many, so silence counts only through the prior of silence."""
-        on = np.log(self.toxic / self.clean) * self.share
-        off = np.log((1 - self.toxic) / (1 - self.clean)) * self.share
-        base = math.log(self.prior / (1 - self.prior)) + float(off.sum())
-        weights = F.array(*[F.lit(float(w)) for w in on - off])
+        """Probability of toxic given which voters fired; the others have abstained."""
+        base = math.log(self.prior / (1 - self.prior))
+        weights = F.array(*[F.lit(float(w)) for w in np.log(self.toxic / self.clean) * self.share])
         total = F.aggregate(hits, F.lit(base), lambda s, j: s + F.element_at(weights, j + 1))
-        return 1 / (1 + F.exp(-total))
+        none = F.lit(base + math.log(self.silent[0] / self.silent[1]))
+        return 1 / (1 + F.exp(-F.when(F.size(hits) == 0, none).otherwise(total)))
 
     def fit(self, patterns: DataFrame, rounds: int = ROUNDS) -> LabelModel:
         """``patterns``: ``(hits, n)``, how many documents have exactly these votes."""
@@ -167,14 +172,14 @@ class LabelModel:
             )
             fired = {r.voter: (r.toxic, r["all"]) for r in rows}
             toxic, every = fired.pop(-1)
-            before = self.prior, self.toxic.copy()
-            self.prior = min(max(toxic / every, 1e-4), 0.5)
+            before = np.concatenate([self.toxic, self.clean])
             for j in range(len(self.toxic)):
                 t, n = fired.get(j, (0.0, 0))
                 # A voter's prior opinion: it says toxic, on one document in a thousand.
                 self.toxic[j] = min((t + 0.1) / (toxic + 10), 0.99)
                 self.clean[j] = min((n - t + 0.001) / (every - toxic + 10), 0.99)
-            if abs(before[0] - self.prior) < 1e-6 and np.abs(before[1] - self.toxic).max(initial=0) < 1e-5 and at >= rounds:
+            moved = np.abs(np.concatenate([self.toxic, self.clean]) - before).max(initial=0)
+            if moved < 1e-6 and at >= rounds:
                 break
         return self
 
@@ -190,7 +195,7 @@ class LabelModel:
             a, b, both = self.toxic[row.i], self.toxic[row.j], row.both / max(total, 1.0)
             spread = math.sqrt(a * (1 - a) * b * (1 - b))
             value = min((both - a * b) / spread, 1.0) if spread else 0.0
-            if value > 0.05:
+            if value > CORRELATED:
                 self.correlations[row.i, row.j] = value
         beside = np.zeros(len(self.toxic))
         for (i, j), value in self.correlations.items():
@@ -308,8 +313,15 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, Classifi
     fired = np.zeros((2, size))
     for r in rows:
         fired[r.toxic, r.voter] = r["count"]
+    spoke = {
+        r.toxic: r["count"]
+        for r in voted.where("size(hits) > 0").join(documents.select("row", "doc_id"), "row")
+        .join(known, "doc_id").groupBy("toxic").count().collect()
+    }
+    quiet = [(n - spoke.get(k, 0) + 1) / (n + 2) for k, n in ((1, toxic), (0, clean))]
     model = LabelModel(
         min(max(toxic / max(toxic + clean, 1), 1e-4), 0.5),
+        (quiet[0], quiet[1]),
         np.minimum((fired[1] + 0.1) / (toxic + 10), 0.99),
         np.minimum((fired[0] + 0.001) / (clean + 10), 0.99),
     )
