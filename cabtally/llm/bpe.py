@@ -21,6 +21,7 @@ import os
 from collections.abc import Iterable, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -187,8 +188,15 @@ class Bpe:
             decoded[number].update(raw.decode("utf-8", "replace").encode())
         return [(n, i.hexdigest(), d.hexdigest()) for n, i, d in zip(counts, ids, decoded, strict=True)]
 
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text its ids."""
+        parts: list[list[np.ndarray]] = [[] for _ in texts]
+        for number, joined in self._encodings(texts):
+            parts[number].append(np.fromstring(joined, np.int32, sep=","))
+        return [np.concatenate(p) if p else np.zeros(0, np.int32) for p in parts]
+
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, joined in self._encodings([text]) for i in joined.split(",")]
+        return self.ids_of([text])[0].tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of the ids, added tokens too; bytes that are no UTF-8 become U+FFFD."""
@@ -202,12 +210,14 @@ def bpe(path: str) -> Bpe:
 
 
 def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``documents`` with ``token_ids``, an array of int. A null text has no ids."""
+    """``documents`` with ``token_ids``, an array of int, in place of any column of that
+    name. A null text has no ids."""
+    documents = documents.drop("token_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            ids = pa.array([bpe(path).encode(t or "") for t in texts], pa.list_(pa.int32()))
+            ids = pa.array(bpe(path).ids_of([t or "" for t in texts]), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names)
 
     names = [*documents.columns, "token_ids"]
@@ -216,7 +226,9 @@ def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
-    """``encoded`` with ``decoded``, the text of the ids; null ids give null."""
+    """``encoded`` with ``decoded``, the text of the ids, in place of any column of that
+    name; null ids give null."""
+    encoded = encoded.drop("decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,0 +1,81 @@
+import numpy as np
+import pytest
+
+from cabtally.llm import embeddings
+from cabtally.llm.embeddings import least_count, near_vectors, op5_embedding_near_dups, shape
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(vectors, cosine=0.9):
+    unit = np.array(vectors, np.float64)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    near = unit @ unit.T >= cosine
+    np.fill_diagonal(near, True)
+    return near
+
+
+def crowd(rng, groups, size, noise, dim=32):
+    centres = rng.standard_normal((groups, dim))
+    return [(c + noise * rng.standard_normal(dim)).astype(np.float32).tolist() for c in centres for _ in range(size)]
+
+
+@pytest.mark.parametrize("tile", [2000, 20])
+def test_against_brute_force(spark, smallest_reachable, monkeypatch, tile):
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    rng = np.random.default_rng(11)
+    vectors = crowd(rng, 60, 5, 0.22) + crowd(rng, 1, 90, 0.15) + crowd(rng, 300, 1, 0)
+    ids = [1000 - i for i in range(len(vectors))]
+    got = {r.vec_id: r for r in near_vectors(spark.createDataFrame(list(zip(ids, vectors, strict=True)), SCHEMA)).collect()}
+    near = brute(vectors)
+    want = near.sum(axis=1) - 1
+    found = np.array([got[i].n_links for i in ids])
+    assert (found <= want).all() and found.sum() >= 0.97 * want.sum()
+    if (found == want).all():
+        assert [got[i].component_id for i in ids] == smallest_reachable(near, ids)
+
+
+def test_query_on_the_given_table(spark, small, rows_of):
+    rows = rows_of("embeddings", "vec_id, embedding", small)
+    got = {r.vec_id: r for r in op5_embedding_near_dups(spark, small).collect()}
+    want = brute([v for _, v in rows]).sum(axis=1) - 1
+    assert sum(got[i].n_links for i, _ in rows) >= 0.9 * want.sum()
+    assert all(got[i].n_links <= n for (i, _), n in zip(rows, want, strict=True))
+
+
+def test_pairs_at_the_threshold_are_found(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(1500):
+        a, b = rng.standard_normal((2, 64))
+        a /= np.linalg.norm(a)
+        b -= a * (a @ b)
+        b /= np.linalg.norm(b)
+        c = 0.9001 * a + np.sqrt(1 - 0.9001**2) * b
+        rows += [(2 * k, a.tolist()), (2 * k + 1, c.tolist())]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert got.where("n_links > 0").count() >= 0.97 * len(rows)
+
+
+def test_unusable_vectors_copies_and_other_lengths(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [None, [0.0, 0.0], [1.0, None], [nan, 1.0], [inf, 1.0], [], [1.0, 1.0], [1.0, 1.0], [2.0, 2.0], [1.0], [3e38, 3e38]]
+    rows = [(i, v, "x") for i, v in enumerate(vectors)] + [(None, [1.0, 1.0], "y"), (None, None, "y"), (6, [1.0, 1.0], "z")]
+    frame = spark.createDataFrame(rows, SCHEMA + ", n_links string")
+    got = near_vectors(frame).collect()
+    assert len(got) == len(rows)
+    of = {r.vec_id: r for r in got if r.vec_id is not None and r.vec_id != 6}
+    for i in (0, 1, 2, 3, 4, 5, 9):
+        assert (of[i].n_links, of[i].component_id, of[i].kept) == (0, i, True)
+    for i in (7, 8, 10):
+        assert (of[i].n_links, of[i].component_id, of[i].kept) == (5, 6, False)
+    assert [(r.n_links, r.kept) for r in got if r.vec_id == 6] == [(5, True)] * 2
+    assert sorted((r.n_links, str(r.component_id), r.kept) for r in got if r.vec_id is None) == [
+        (0, "None", False),
+        (5, "6", False),
+    ]
+
+
+def test_tables_grow_slower_than_vectors():
+    assert [shape(n)[0] for n in (1, 500, 10**6)] == sorted(shape(n)[0] for n in (1, 500, 10**6))
+    assert shape(10**8)[1] < 10 * shape(10**4)[1] and 20 < least_count() < 32

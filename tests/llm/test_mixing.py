@@ -1,0 +1,72 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from cabtally.llm.common import numbered
+from cabtally.llm.mixing import mix, plan, quotas, targets
+
+DOCS = "doc_id long, text string, source string"
+
+
+def water(sizes, weights):
+    """Targets by resharing what is above the cap until nothing is."""
+    budget, open_, out = 1.5 * sum(sizes), set(range(len(sizes))), {}
+    while open_:
+        total = sum(weights[i] for i in open_)
+        above = [i for i in open_ if budget * weights[i] / total >= 2 * sizes[i]]
+        if not above:
+            return [out.get(i, budget * weights[i] / total) for i in range(len(sizes))]
+        for i in above:
+            out[i] = 2.0 * sizes[i]
+            budget -= out[i]
+            open_.remove(i)
+    return [out[i] for i in range(len(sizes))]
+
+
+def test_targets_are_those_of_repeated_sharing(spark):
+    rng = np.random.default_rng(1)
+    for _ in range(4):
+        sizes = rng.integers(0, 5000, 9).tolist()
+        names = [f"s{i}" for i in range(8)] + [None]
+        frame = spark.createDataFrame(list(zip(names, sizes, strict=True)), "source string, source_size long")
+        got = {r.source: r.target for r in targets(frame).collect()}
+        want = water(sizes, [(5, 2, 1)[i % 3] for i in range(9)])
+        assert np.allclose([got[n] for n in names], want)
+
+
+def test_quotas_are_exact_and_spread_as_drawn_at_random(spark):
+    blocks = spark.createDataFrame([(0, 4000), (1, 10), (2, 0), (3, 1500)], "rank int, n_blocks long")
+    got = quotas(blocks, 37).collect()
+    for rank, number in ((0, 4000), (1, 10), (2, 0), (3, 1500)):
+        own = sorted((r.shard, r.first, r.quota) for r in got if r.rank == rank)
+        assert sum(q for *_, q in own) == number and all(q >= 0 for *_, q in own)
+        assert [f for _, f, _ in own] == np.cumsum([0, *(q for *_, q in own)])[:-1].tolist()
+    shares = np.array([r.quota for r in got if r.rank == 0])
+    sizes = [sum(r.quota for r in got if r.shard == s) for s in range(37)]
+    assert max(sizes) - min(sizes) <= 6
+    n, share = 5510 / 37, 4000 / 5510
+    spread = np.sqrt(n * share * (1 - share))
+    assert 0.5 * spread < shares.std() < 1.6 * spread and abs(shares.mean() - n * share) < 1
+
+
+def test_words_come_near_targets_and_reruns_agree(spark, sf_dir):
+    docs = numbered(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"), "row")
+    facts, draws = plan(docs, block_words=512, shard_words=30_000)
+    taken = draws.groupBy("row").agg(F.sum("size").alias("taken"), F.count("*").alias("times"))
+    rows = facts.join(docs.select("row", "source"), "row").join(taken, "row", "left").fillna(0).collect()
+    assert max(r.times for r in rows) <= 2 and draws.select("row", "pass").distinct().count() == draws.count()
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+    again = plan(docs, block_words=512, shard_words=30_000)[1]
+    key = ["row", "pass", "shard", "place"]
+    assert draws.select(key).exceptAll(again.select(key)).isEmpty()
+
+
+def test_nulls_ties_and_clashing_columns(spark):
+    rows = [(1, "a b c", "x", 1), (1, "a b c", "x", 1), (None, "d e", None, 2), (2, None, "x", 3), (3, "", None, 4)]
+    frame = spark.createDataFrame(rows, DOCS + ", rank int").withColumn("size", F.lit("s"))
+    got = mix(frame)
+    assert got.columns == frame.columns
+    assert {r.doc_id for r in got.collect()} <= {1, None}
+    assert got.count() >= 2
+    assert mix(frame.limit(0)).collect() == []

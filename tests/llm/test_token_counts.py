@@ -1,0 +1,61 @@
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from cabtally.llm.bpe import tokenizer_path
+from cabtally.llm.common import stored
+from cabtally.llm.token_counts import (
+    RANKS,
+    SEPARATOR,
+    document_lengths,
+    op9_token_counts,
+    separators,
+    token_counts,
+    write_token_files,
+)
+
+
+@pytest.fixture(scope="module")
+def count():
+    library = Tokenizer.from_file(tokenizer_path())
+    library.encode_special_tokens = True
+    return lambda text: len(library.encode(text or "", add_special_tokens=False).ids)
+
+
+def test_query_against_the_library(spark, small, rows_of, count):
+    got = {r.doc_id: r.n_tokens for r in op9_token_counts(spark, small).collect()}
+    assert got == {i: count(t) for i, t in rows_of("documents", "doc_id, text", small)}
+
+
+@pytest.mark.parametrize(("per_file", "block"), [(7, 16), (1, 1), (1000, 1 << 16)])
+def test_any_cut_into_files_and_blocks(spark, count, per_file, block):
+    texts = ["", None, "a", "P" * 40, "one two three " * 30, "<|endoftext|>", "éé 🙂", "", "x\x00y", "\r\nPP"] * 3
+    frame = stored(spark.createDataFrame([(i % 20 or None, t, "z") for i, t in enumerate(texts)], "doc_id long, text string, row string"), "t")
+    rows = [(r.doc_id, count(r.text)) for r in frame.collect()]
+    got = token_counts(frame, tokenizer_path(RANKS), per_file, block).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows))
+
+
+def test_lengths_of_flat_files(spark, tmp_path):
+    files = {
+        "part-a": [1, 2, SEPARATOR, SEPARATOR, 3, SEPARATOR],
+        "part-b": [5] * 10 + [SEPARATOR] + [6] * 7,  # the last document is not closed
+        "part-c": [],
+        "part-d": [7, 8, 9],
+    }
+    for name, tokens in files.items():
+        (tmp_path / name).write_bytes(np.array(tokens, ">u2").tobytes())
+    for block in (1, 3, 100):
+        got = document_lengths(separators(spark, str(tmp_path), block)).collect()
+        assert sorted(map(tuple, got)) == [
+            ("part-a", 0, 2, True), ("part-a", 1, 0, True), ("part-a", 2, 1, True),
+            ("part-b", 0, 10, True), ("part-b", 1, 7, False), ("part-d", 0, 3, False),
+        ]
+
+
+def test_files_are_nothing_but_tokens(spark, folder):
+    frame = spark.createDataFrame([("hello P",), (None,), ("x",)], "text string").coalesce(1)
+    write_token_files(frame, f"{folder}/files", tokenizer_path(RANKS))
+    (path,) = __import__("glob").glob(f"{folder.removeprefix('file://')}/files/part-*")
+    tokens = np.fromfile(path, ">u2").tolist()
+    assert tokens.count(SEPARATOR) == 3 and tokens[-1] == SEPARATOR and tokens[-3:] != [SEPARATOR] * 3
