@@ -25,7 +25,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from cabtally.llm.common import table
 
@@ -209,6 +216,10 @@ def bpe(path: str) -> Bpe:
     return Bpe(path)
 
 
+def _with(frame: DataFrame, name: str, kind: DataType) -> StructType:
+    return StructType([*frame.schema.fields, StructField(name, kind)])
+
+
 def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``documents`` with ``token_ids``, an array of int, in place of any column of that
     name. A null text has no ids."""
@@ -221,7 +232,7 @@ def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names)
 
     names = [*documents.columns, "token_ids"]
-    schema = documents.schema.add("token_ids", "array<int>")
+    schema = _with(documents, "token_ids", ArrayType(IntegerType()))
     return documents.mapInArrow(run, schema)
 
 
@@ -237,7 +248,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
     names = [*encoded.columns, "decoded"]
-    return encoded.mapInArrow(run, encoded.schema.add("decoded", "string"))
+    return encoded.mapInArrow(run, _with(encoded, "decoded", StringType()))
 
 
 def round_trip(documents: DataFrame, path: str) -> DataFrame:

@@ -152,7 +152,8 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def linked(fps: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` that connect the distinct fingerprints ``fp`` linked within RADIUS:
-    the same components as all links have, but not each link."""
+    the same components as all links have, but not each link. Where several share a
+    variant, an edge can join two that are linked only through others there."""
     # A few bytes become many, so all cores should make them.
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = fps.repartition(parts, "fp")
