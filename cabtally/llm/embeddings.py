@@ -10,7 +10,7 @@ precision.
 Counting for all pairs would be quadratic. So a pair is counted where it meets: the
 projections are sorted in several tables, each by the cells of a few directions of its own
 at once. With more vectors a table takes more directions and there are more tables, such
-that the pairs that meet grow with about n ** 1.25, and a pair at the threshold meets in
+that the pairs that meet grow with about n ** 1.3, and a pair at the threshold meets in
 some table with probability ``MEET_RECALL``. The product is the recall there; nearer pairs
 have more.
 

@@ -130,6 +130,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a.append(own[other])
             b.append(label[other])
         pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
         return pa.RecordBatch.from_arrays(
             [pa.array(pairs[:, 0].view(np.int64)), pa.array(pairs[:, 1].view(np.int64))], ["a", "b"]
         )
