@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabtally.llm.common import numbered, table
+from cabtally.llm.common import numbered, stored, table
 from cabtally.sources.storage import scratch_folder
 
 #: Payloads from this size on are written once; further ones revisit it.
@@ -309,7 +309,8 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole payloads of revisits are those of the responses they refer to."""
     folder = f"{scratch_folder(spark, 'warc')}/archives"
     write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
-    found = captures(read_records(spark, folder)).select(
+    # Kept without payloads: the assembly reads them several times, the archives once.
+    found = captures(stored(read_records(spark, folder), "warc-records")).select(
         "capture_id",
         F.col("response.type").alias("record_type"),
         F.col("response.refers_to").alias("refers"),
