@@ -37,9 +37,10 @@ def hour_label(at: Column) -> Column:
 def money(amount: Column) -> Column:
     """Exact currency value, so sums do not depend on the order of rows.
 
-    An amount that is no number becomes null and adds nothing.
+    An amount that is no number, or has more than 26 digits before the point, becomes null
+    and adds nothing.
     """
-    return amount.try_cast("decimal(18,2)")
+    return amount.try_cast("decimal(28,2)")
 
 
 def row_id() -> Column:

@@ -28,7 +28,7 @@ def merge_totals(
         rows = rows.unionByName(stored.select(*columns))
     return rows.groupBy(*keys).agg(
         *[
-            F.coalesce(F.sum(name), F.lit(0)).cast(kind).alias(name)
+            F.coalesce(F.sum(name).cast(kind), F.lit(0).cast(kind)).alias(name)
             for name, kind in measures.items()
         ]
     )
@@ -39,27 +39,13 @@ def upsert(stored: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFr
 
     ``changes`` holds each key at most once.
     """
-    kept = stored.join(changes.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(changes.select(*stored.columns))
-
-
-def merge_into(contributions: DataFrame, table: str, keys: Sequence[str], measure: str) -> None:
-    """The same merge as row-level ``MERGE INTO``, for catalogs that support it.
-
-    ``contributions`` holds each key at most once. Plain Parquet tables refuse this;
-    use :class:`cabtally.sources.tables.SnapshotTable` with :func:`merge_totals` there.
-    """
-    source = contributions.alias("source")
-    same_key = None
-    for key in keys:
-        term = F.col(f"{table}.{key}") == F.col(f"source.{key}")
-        same_key = term if same_key is None else same_key & term
-    added = F.coalesce(F.col(f"{table}.{measure}"), F.lit(0)) + F.col(f"source.{measure}")
-    (
-        source.mergeInto(table, same_key)
-        .whenMatched()
-        .update({measure: added})
-        .whenNotMatched()
-        .insert({name: F.col(f"source.{name}") for name in [*keys, measure]})
-        .merge()
+    columns, rest = stored.columns, [name for name in stored.columns if name not in keys]
+    # Both sides are read once, which an anti-join would not do: behind ``changes`` can be
+    # the state stage of a stream, which would run again.
+    rows = stored.withColumn("_order", F.lit(0)).unionByName(
+        changes.select(*columns).withColumn("_order", F.lit(1))
     )
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_order").alias("_last"))
+    # Few rows come in as many tasks as the state has; written as they are, each would be
+    # a file. Rebalancing makes files of the session's advisory size, however many rows.
+    return last.select(*keys, "_last.*").select(*columns).hint("rebalance")

@@ -19,7 +19,8 @@ from cabtally.functions.trips import (
 from cabtally.operators.merge import merge_totals
 
 COUNT = {"count": "bigint"}
-REVENUE = {"total_amount": "decimal(18,2)"}
+#: As wide as a sum of amounts can be.
+REVENUE = {"total_amount": "decimal(38,2)"}
 
 
 @dataclass(frozen=True)

@@ -28,7 +28,7 @@ FIELDS = {
 
 
 def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
-    """Trips from ``events``: ``all``, ``stored`` (before the split) or ``new``."""
+    """Trips from ``events``: ``all``, ``stored`` (before the split) or ``new`` (all others)."""
     return _trips_of(spark.read.parquet(_events(sf_dir)), part)
 
 
@@ -47,7 +47,10 @@ def _trips_of(events: DataFrame, part: str) -> DataFrame:
     # on the pickup time, which is cut to a whole second, as the split is.
     split = F.lit(SPLIT).cast("timestamp_ntz")
     if part != "all":
-        events = events.filter(F.col("ts") < split if part == "stored" else F.col("ts") >= split)
+        before = F.col("ts") < split
+        # A trip without a time is in one part as well, among the later ones.
+        later = (F.col("ts") >= split) | F.col("ts").isNull()
+        events = events.filter(before if part == "stored" else later)
     number = F.col("event_id")
     second = F.unix_timestamp("ts")
 

@@ -12,8 +12,9 @@ from pyspark.sql.types import StructType
 from cabtally.fixed_values import TRIP_FIELDS
 from cabtally.operators import geo, reports
 from cabtally.operators.statistics import REVENUE_PER_DAY, Statistic, fields_of, with_date
-from cabtally.sources.files import read_csv, read_trips, read_zones
-from cabtally.sources.records import ddl, decode_trips, lower_case, typed, wire_fields
+from cabtally.sources.files import layout_schema, layouts, read_csv, read_trips, read_zones
+from cabtally.sources.records import decode_trips, lower_case, typed, wire_fields
+from cabtally.sources.storage import Storage
 from cabtally.sources.streams import open_stream, publish
 from cabtally.sources.tables import SnapshotTable, read_keyed, upsert_keyed
 from cabtally.streaming.statistics import Committed, merge_stream, open_table
@@ -24,8 +25,9 @@ LOCATIONS = {"pickup": "pulocationid", "dropoff": "dolocationid"}
 def publish_files(
     spark: SparkSession, csv: str, kind: str, path: str | None, options: dict[str, str]
 ) -> None:
-    """CSV files to messages, as they are: numbers and texts, names in lower case."""
-    publish(read_csv(spark, csv), kind, path, options)
+    """CSV files to messages, as they are: numbers and texts, names in lower case, columns
+    that are no trip fields as well."""
+    publish(read_csv(spark, csv, others=True), kind, path, options)
 
 
 def read_stored(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
@@ -43,16 +45,31 @@ def follow_stored(
     fields: Mapping[str, str] = TRIP_FIELDS,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """The same trips as an unbounded frame that takes up new files."""
+    """The same trips as an unbounded frame that takes up new files.
+
+    A stream has one layout of CSV files, that of the files found at its start; a file with
+    another one fails it, so files of several layouts need a folder and a stream each.
+    """
     if kind == "csv":
-        schema = ddl(wire_fields(TRIP_FIELDS))
-        return typed(lower_case(open_stream(spark, "csv", path, schema, options)), fields)
+        rows = lower_case(open_stream(spark, "csv", path, _one_layout(spark, path), options))
+        missing = [name for name in TRIP_FIELDS if name not in rows.columns]
+        wire = wire_fields(TRIP_FIELDS)
+        rows = rows.withColumns({name: F.lit(None).cast(wire[name]) for name in missing})
+        return typed(rows, fields)
     # Not recursive: the store is written by a stream, whose log names its files.
     options = {"recursiveFileLookup": "false"} | (options or {})
     schema = spark.read.parquet(path).schema
     return open_stream(spark, kind, path, schema, options).select(*fields)
 
 
+def _one_layout(spark: SparkSession, path: str) -> StructType:
+    exists = "*" in path or Storage(spark, path).exists(path)
+    found = list(layouts(spark, path)) if exists else []
+    if len(found) > 1:
+        raise ValueError(f"{path} has files with {len(found)} different headers; see read_csv")
+    return layout_schema(found[0] if found else tuple(TRIP_FIELDS), TRIP_FIELDS)
+
+
 def update_trip_store(
     spark: SparkSession,
     csv: str,
@@ -108,7 +125,7 @@ def copy_to(format: str, **options: str) -> Committed:
     """Copies a statistic to the connector table of its name after each update."""
 
     def copy(statistic: Statistic, table: SnapshotTable) -> None:
-        upsert_keyed(statistic.present(table.read()), format, table=statistic.name, **options)
+        upsert_keyed(statistic.present(table.read()), format, **({"table": statistic.name} | options))
 
     return copy
 

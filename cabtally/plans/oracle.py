@@ -58,7 +58,7 @@ FROM counts LEFT JOIN labels USING (payment_type)"""
 PICKUP_HOUR = f"""WITH {TRIPS}
 SELECT lpad(CAST(hour(tpep_pickup_datetime) AS VARCHAR), 2, '0') || ':00' AS pickup_hour,
        count(*) AS "count", {KEY_COLUMN}
-FROM trips GROUP BY 1"""
+FROM trips WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 1"""
 
 
 def _revenue_per_day(where: str = "true") -> str:
@@ -67,7 +67,7 @@ def _revenue_per_day(where: str = "true") -> str:
          CAST(month(tpep_dropoff_datetime) AS INTEGER) AS "month",
          CAST(day(tpep_dropoff_datetime) AS INTEGER) AS "day",
          CAST(sum(total_amount) AS DOUBLE) AS total_amount
-  FROM trips WHERE {where} GROUP BY 1, 2, 3)
+  FROM trips WHERE {where} AND tpep_dropoff_datetime IS NOT NULL GROUP BY 1, 2, 3)
 """
 
 
@@ -105,12 +105,12 @@ SELECT 'total_amount_statistics',
        concat_ws('-', year(tpep_dropoff_datetime), month(tpep_dropoff_datetime),
                  day(tpep_dropoff_datetime)),
        CAST(sum(total_amount) AS DOUBLE)
-FROM trips GROUP BY 2
+FROM trips WHERE tpep_dropoff_datetime IS NOT NULL GROUP BY 2
 UNION ALL
 SELECT 'pickup_hour_statistics',
        lpad(CAST(hour(tpep_pickup_datetime) AS VARCHAR), 2, '0') || ':00',
        CAST(count(*) AS DOUBLE)
-FROM trips GROUP BY 2"""
+FROM trips WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 2"""
 
 STAGE_ROW_COUNTS = f"""WITH {TRIPS}, days AS (
   SELECT DISTINCT CAST(tpep_dropoff_datetime AS DATE) AS dropoff,
@@ -135,7 +135,7 @@ ORACLE: dict[str, str] = {
 SELECT CAST(isoyear(tpep_dropoff_datetime) AS INTEGER) AS "year",
        CAST(week(tpep_dropoff_datetime) AS INTEGER) AS week,
        CAST(sum(total_amount) AS DOUBLE) AS total_amount, {KEY_COLUMN}
-FROM trips WHERE {AFTER_START} GROUP BY 1, 2""",
+FROM trips WHERE {AFTER_START} AND tpep_dropoff_datetime IS NOT NULL GROUP BY 1, 2""",
     "trip_distance_merge": f"""WITH {TRIPS}
 SELECT CASE WHEN trip_distance < 1 THEN 'Short' WHEN trip_distance < 10 THEN 'Medium'
             ELSE 'Long' END AS trip_distance, count(*) AS "count"
@@ -163,6 +163,10 @@ FROM minutes WHERE m IS NOT NULL GROUP BY 1""",
     "stream_total_amount": _revenue_per_day() + DAY_COLUMNS,
     "stream_peak_hour": PICKUP_HOUR,
     "stream_statistics": STREAM_STATISTICS,
+    "stream_batches": STREAM_STATISTICS,
+    "batch_statistics": STREAM_STATISTICS.replace(
+        "FROM trips WHERE tpep_dropoff", f"FROM trips WHERE {AFTER_START} AND tpep_dropoff"
+    ),
     "stream_passenger_stateful": f"""WITH {TRIPS}
 SELECT passenger_count AS passenger_number, count(*) AS "count"
 FROM trips WHERE passenger_count IS NOT NULL GROUP BY 1""",

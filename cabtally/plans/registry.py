@@ -31,11 +31,11 @@ from cabtally.plans.fixtures import (
     with_end_markers,
     zones,
 )
-from cabtally.plans.jobs import stages_of
+from cabtally.plans.jobs import stages_of, update_from_files, update_trip_store
 from cabtally.sources.files import read_trips
 from cabtally.sources.records import decode_trips, encode_json
 from cabtally.sources.storage import scratch_folder
-from cabtally.sources.streams import publish
+from cabtally.sources.streams import open_stream, publish
 from cabtally.streaming.landing import land_batch, land_stream
 from cabtally.streaming.queries import finish
 from cabtally.streaming.statistics import (
@@ -48,6 +48,8 @@ from cabtally.streaming.statistics import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Files of messages that make as many micro-batches.
+STREAM_FILES = 4
 STREAMED = [PASSENGERS, PAYMENT_TYPE, REVENUE_PER_DAY, PICKUP_HOUR]
 
 
@@ -99,7 +101,25 @@ def trip_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_id_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.id_audit(reports.trip_store(trips(spark, sf_dir)))
+    """The ids of the trip store, as they were written: CSV files to stored trips."""
+    folder = scratch_folder(spark, "store")
+    trips(spark, sf_dir).write.csv(f"{folder}/csv", header=True)
+    finish(update_trip_store(spark, f"{folder}/csv", f"{folder}/store", f"{folder}/checkpoint"))
+    return reports.id_audit(spark.read.parquet(f"{folder}/store"))
+
+
+def batch_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over CSV files that arrive in two parts; its third run finds no file."""
+    folder = scratch_folder(spark, "batch")
+    for part in ("stored", "new", None):
+        if part:
+            trips(spark, sf_dir, part).write.csv(f"{folder}/csv/{part}", header=True)
+        finish(
+            update_from_files(
+                spark, STREAMED, f"{folder}/csv", f"{folder}/tables", f"{folder}/checkpoint"
+            )
+        )
+    return combined_report(spark, f"{folder}/tables", STREAMED)
 
 
 # Zones
@@ -142,6 +162,19 @@ def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combined_report(spark, _merge_stream(spark, sf_dir, STREAMED), STREAMED)
 
 
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed statistics in several micro-batches, one for each file of messages."""
+    folder = scratch_folder(spark, "batches")
+    messages = encode_json(trips(spark, sf_dir)).repartition(STREAM_FILES)
+    messages.write.text(f"{folder}/messages")
+    stream = open_stream(
+        spark, "text", f"{folder}/messages", options={"maxFilesPerTrigger": "1"}
+    )
+    rows = decode_trips(stream, fields_of(STREAMED, FIELDS))
+    finish(merge_stream(rows, STREAMED, f"{folder}/tables", f"{folder}/checkpoint"))
+    return combined_report(spark, f"{folder}/tables", STREAMED)
+
+
 def stream_passenger_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "stateful")
     messages = encode_json(trip_stream(spark, sf_dir))
@@ -185,6 +218,7 @@ QUERIES: dict[str, Query] = {
     "trip_duration": trip_duration,
     "trip_id_audit": trip_id_audit,
     "trip_duration_class": totals(DURATION),
+    "batch_statistics": batch_statistics,
     "heat_points_pickup": heat_points("pulocationid"),
     "heat_points_dropoff": heat_points("dolocationid"),
     "location_pickup": location_table("pulocationid"),
@@ -197,6 +231,7 @@ QUERIES: dict[str, Query] = {
     "stream_total_amount": streamed(REVENUE_PER_DAY),
     "stream_peak_hour": streamed(PICKUP_HOUR),
     "stream_statistics": stream_statistics,
+    "stream_batches": stream_batches,
     "stream_passenger_stateful": stream_passenger_stateful,
     "report_total_amount": report_total_amount,
     "preview_trips": preview_trips,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cabtally.fixed_values import END_MARKER, TRIP_FIELDS
 
 MALFORMED = "_malformed"
+REST = "rest"
 
 
 def lower_case(frame: DataFrame) -> DataFrame:
@@ -55,12 +56,17 @@ def encode_json(frame: DataFrame) -> DataFrame:
 
 
 def decode_json(
-    messages: DataFrame, fields: Mapping[str, str] = TRIP_FIELDS, keep_malformed: bool = False
+    messages: DataFrame,
+    fields: Mapping[str, str] = TRIP_FIELDS,
+    keep_malformed: bool = False,
+    keep_rest: bool = False,
 ) -> DataFrame:
     """Messages (column ``value``, text or bytes) to wire values. End markers are dropped.
 
     A value of the wrong kind is null, and so is all of a message that is no JSON object.
     ``keep_malformed`` adds the text of either in ``_malformed``, which else is null.
+    ``keep_rest`` adds what a message has besides the fields as JSON in ``rest``, null if
+    there is nothing; that takes a second parse.
     """
     wanted = wire_fields(fields) | {END_MARKER: "boolean"}
     if keep_malformed:
@@ -71,7 +77,14 @@ def decode_json(
     # inline() holds the parser in a node of its own: a filter on the fields stays above it,
     # where a plain projection would be merged with the filter and parse each message twice.
     # Spark does not prune fields through it, so callers pass only those they need.
-    rows = messages.select(F.inline(F.array(record)))
+    if keep_rest:
+        known = F.array(*map(F.lit, wanted))
+        every = F.from_json(F.col("value").cast("string"), "map<string,string>")
+        rest = F.map_filter(every, lambda name, _: ~F.array_contains(known, name))
+        rest = F.when(F.size(rest) > 0, F.to_json(rest))
+        rows = messages.select(rest.alias(REST), F.inline(F.array(record)))
+    else:
+        rows = messages.select(F.inline(F.array(record)))
     return rows.filter(~F.coalesce(F.col(END_MARKER), F.lit(False))).drop(END_MARKER)
 
 

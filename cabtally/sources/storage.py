@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +15,7 @@ class Storage:
     def __init__(self, spark: SparkSession, path: str):
         context = spark.sparkContext
         self._hadoop = context._jvm.org.apache.hadoop
+        self._java = context._jvm.java.io
         self._fs = self._path(path).getFileSystem(context._jsc.hadoopConfiguration())
 
     def _path(self, path: str):
@@ -35,6 +37,18 @@ class Storage:
         finally:
             stream.close()
 
+    def first_line(self, path: str) -> str:
+        """The first line of a text file, compressed or not; empty for an empty file."""
+        codecs = self._hadoop.io.compress.CompressionCodecFactory(self._fs.getConf())
+        codec = codecs.getCodec(self._path(path))
+        stream = self._fs.open(self._path(path))
+        try:
+            java = self._java
+            source = stream if codec is None else codec.createInputStream(stream)
+            return java.BufferedReader(java.InputStreamReader(source, "UTF-8")).readLine() or ""
+        finally:
+            stream.close()
+
     def write_new(self, path: str, text: str) -> None:
         """Create a small file in one step; refuses to replace one."""
         draft = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
@@ -65,6 +79,12 @@ class Storage:
         self._fs.deleteOnExit(self._path(path))
 
 
+@cache
+def _local_folder() -> str:
+    """One temporary folder for the sessions of this process."""
+    return tempfile.mkdtemp(prefix="cabtally-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, as ``spark.checkpoint.dir`` names it.
 
@@ -78,9 +98,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-    folder = tempfile.mkdtemp(prefix="cabtally-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:

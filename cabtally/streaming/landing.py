@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cabtally.fixed_values import TRIP_FIELDS
-from cabtally.sources.records import MALFORMED, decode_json
+from cabtally.sources.records import MALFORMED, REST, decode_json
 from cabtally.sources.storage import Storage
 from cabtally.streaming.queries import start
 
@@ -27,7 +27,8 @@ def land_batch(
     The files are written aside and appear together, in one rename, so a reader never
     sees a part of a batch. A batch that is there already is left alone: false is
     returned. The text of messages that did not decode in full goes to
-    ``folder/_malformed/batch``; what did decode of them is landed.
+    ``folder/_malformed/batch``; what did decode of them is landed. What a message has
+    besides the fields is landed too, as JSON in the column ``rest``.
     """
     folder = folder.rstrip("/")
     storage = Storage(messages.sparkSession, folder)
@@ -36,10 +37,10 @@ def land_batch(
         return False
 
     seen = Observation()
-    decoded = decode_json(messages, fields, keep_malformed=True)
+    decoded = decode_json(messages, fields, keep_malformed=True, keep_rest=True)
     counted = decoded.observe(seen, F.count(F.col(MALFORMED)).alias("malformed"))
-    decodes = reduce(or_, [F.col(name).isNotNull() for name in fields])
-    records = counted.filter(F.col(MALFORMED).isNull() | decodes).select(*fields)
+    decodes = reduce(or_, [F.col(name).isNotNull() for name in [*fields, REST]])
+    records = counted.filter(F.col(MALFORMED).isNull() | decodes).select(*fields, REST)
     aside = f"{folder}/_writing/{batch}"
     records.dropDuplicates().write.mode("overwrite").csv(aside, header=True)
     if seen.get["malformed"]:

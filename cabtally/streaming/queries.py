@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-QUERY_ID = "sql.streaming.queryId"
+from cabtally.sources.storage import Storage
 
 BatchFunction = Callable[[DataFrame, int, str], None]
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in the checkpoint. A query's own thread knows it too, but
+    not where Python threads are not pinned to Java ones."""
+    path = f"{checkpoint.rstrip('/')}/metadata"
+    found = json.loads(Storage(spark, path).read(path)).get("id")
+    if not found:
+        raise ValueError(f"{path} names no query: without it nothing guards against replays")
+    return found
+
+
 def start(
     stream: DataFrame,
     on_batch: BatchFunction,
@@ -30,7 +41,7 @@ def start(
     """
 
     def call(rows: DataFrame, batch: int) -> None:
-        on_batch(rows, batch, rows.sparkSession.sparkContext.getLocalProperty(QUERY_ID))
+        on_batch(rows, batch, query_id(rows.sparkSession, checkpoint))
 
     writer = stream.writeStream.foreachBatch(call).outputMode(mode)
     writer = writer.option("checkpointLocation", checkpoint)

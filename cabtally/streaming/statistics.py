@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,21 +38,37 @@ def add_to_tables(
     """Add ``trips``, read once, to the stored totals of all ``statistics``.
 
     With several statistics the trips are first summed up by all keys together, and
-    that small result is kept while the tables are written from it, one after the other.
+    that small result is kept while the tables are written from it, side by side.
+    ``committed`` is called for tables that have the batch already, too: when a batch is
+    repeated, the failure may have come between a table's commit and the call.
     """
     tables = {s.name: open_table(trips.sparkSession, folder, s) for s in statistics}
     due = [s for s in statistics if stream is None or not tables[s.name].has(stream, batch_id)]
     combined = combine(trips, due, batch).persist() if len(due) > 1 else None
+
+    def add(statistic: Statistic) -> None:
+        table = tables[statistic.name]
+        if combined is None:
+            new = statistic.contributions(trips, batch)
+        else:
+            new = statistic.from_combined(combined)
+        table.update(partial(statistic.add, new), stream, batch_id)
+        if committed is not None:
+            committed(statistic, table)
+
     try:
-        for statistic in due:
-            table = tables[statistic.name]
-            if combined is None:
-                new = statistic.contributions(trips, batch)
-            else:
-                new = statistic.from_combined(combined)
-            table.update(partial(statistic.add, new), stream, batch_id)
-            if committed is not None:
-                committed(statistic, table)
+        if committed is not None:
+            for statistic in statistics:
+                if statistic not in due:
+                    committed(statistic, tables[statistic.name])
+        if len(due) == 1:
+            add(due[0])
+        elif due:
+            combined.count()  # once, before all tables ask for it
+            run = inheritable_thread_target(trips.sparkSession)
+            with ThreadPoolExecutor(len(due)) as pool:
+                for done in [pool.submit(run(add), s) for s in due]:
+                    done.result()
     finally:
         if combined is not None:
             combined.unpersist()
@@ -69,8 +87,7 @@ def merge_stream(
 
     The source is read once, however many statistics there are. With ``batch`` the
     batch filters apply, as for files. ``committed`` is called after each update, for
-    example to copy the totals to a connector table; after a failure it may be missed
-    for a batch, and the next batch makes up for it.
+    example to copy the totals to a connector table, and again when a batch is repeated.
     """
 
     def merge(rows: DataFrame, batch_id: int, query_id: str) -> None:

@@ -5,8 +5,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cabtally.operators.merge import merge_into, merge_totals, upsert
-from cabtally.operators.statistics import STATISTICS
+from cabtally.operators.merge import merge_totals, upsert
+from cabtally.operators.statistics import REVENUE_PER_DAY, STATISTICS
 from cabtally.plans.fixtures import trips
 
 SUM = {"n": "bigint"}
@@ -78,10 +78,18 @@ def test_upsert_replaces_and_adds(spark):
     assert rows(upsert(stored, frame(spark, [(2, 1), (3, 2)]), ["k"])) == [(1, 10), (2, 1), (3, 2)]
 
 
-def test_merge_into_needs_a_catalog_with_row_level_operations(spark):
-    frame(spark, [(1, 10)]).write.mode("overwrite").format("parquet").saveAsTable("plain_totals")
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_very_large_amounts_add_up(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
-            merge_into(frame(spark, [(1, 1)]), "plain_totals", ["k"], "n")
+        trips = spark.sql(
+            "SELECT timestamp_ntz'2024-01-01 10:00:00' AS tpep_dropoff_datetime,"
+            " timestamp_ntz'2024-01-01 10:00:00' AS tpep_pickup_datetime, amount AS total_amount"
+            " FROM VALUES (9e15D), (9e15D), (1e17D), (double('NaN')) AS t(amount)"
+        )
+        stored = REVENUE_PER_DAY.totals(trips)
+        both = REVENUE_PER_DAY.totals(trips, stored).collect()
+        assert [str(r.total_amount) for r in both] == ["236000000000000000.00"]
     finally:
-        spark.sql("DROP TABLE plain_totals")
+        spark.conf.set("spark.sql.ansi.enabled", before)

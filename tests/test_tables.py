@@ -149,3 +149,62 @@ def test_totals_are_taken_over_from_a_connector_table(spark, folder):
     seed_from(spark, PASSENGERS, f"{folder}/stats", "parquet", path=f"{folder}/source")
     seeded = open_table(spark, f"{folder}/stats", PASSENGERS).read()
     assert rows(seeded) == [(2, 7), (10, 3)]
+
+
+def overtake(table, frame, times=KEPT_VERSIONS + 1):
+    for _ in range(times):
+        table.update(lambda content: content.unionByName(frame))
+
+
+def test_a_writer_overtaken_by_more_than_the_kept_versions_begins_anew(spark, table):
+    put(table, make(spark, (0, 0)))
+    calls = []
+
+    def slow(content):
+        calls.append(1)
+        if len(calls) == 1:
+            overtake(table, make(spark, (1, 1)))
+            return make(spark, (2, 2))  # does not read what it replaces
+        return content.unionByName(make(spark, (2, 2)))
+
+    assert table.update(slow, "s", 0)
+    assert len(calls) == 2
+    assert table.has("s", 0)
+    assert rows(table.read()) == sorted([(0, 0), (2, 2)] + [(1, 1)] * (KEPT_VERSIONS + 1))
+
+
+def test_a_slow_reader_of_dropped_content_begins_anew(spark, table):
+    put(table, make(spark, (0, 0)))
+    calls = []
+
+    def slow(content):
+        calls.append(1)
+        if len(calls) == 1:
+            overtake(table, make(spark, (1, 1)))
+        return content.unionByName(make(spark, (2, 2)))
+
+    assert table.update(slow)
+    assert len(calls) == 2
+    assert rows(table.read()) == sorted([(0, 0), (2, 2)] + [(1, 1)] * (KEPT_VERSIONS + 1))
+
+
+def test_another_failure_of_an_update_is_raised(spark, table):
+    put(table, make(spark, (0, 0)))
+    with pytest.raises(ZeroDivisionError):
+        table.update(lambda content: 1 / 0)
+
+
+def test_old_totals_are_read_by_a_wider_type(spark, folder):
+    old = SnapshotTable(spark, f"{folder}/money", "k int, total decimal(18,2)")
+    put(old, spark.sql("SELECT 1 AS k, 12.50BD AS total").selectExpr("k", "cast(total AS decimal(18,2)) AS total"))
+    new = SnapshotTable(spark, f"{folder}/money", "k int, total decimal(38,2)")
+    assert [str(r.total) for r in new.read().collect()] == ["12.50"]
+
+
+def test_copy_takes_a_table_option(spark, folder):
+    tables, copies = f"{folder}/tables", f"{folder}/copy"
+    open_table(spark, tables, PASSENGERS).update(
+        lambda content: spark.sql("SELECT 1 AS passenger_number, 2L AS count")
+    )
+    copy_to("parquet", table="other", path=copies)(PASSENGERS, open_table(spark, tables, PASSENGERS))
+    assert spark.read.parquet(copies).count() == 1
