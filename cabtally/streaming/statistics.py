@@ -39,8 +39,8 @@ def add_to_tables(
 
     With several statistics the trips are first summed up by all keys together, and
     that small result is kept while the tables are written from it, side by side.
-    ``committed`` is called for tables that have the batch already, too: when a batch is
-    repeated, the failure may have come between a table's commit and the call.
+    ``committed`` is then called for each, also for tables that had the batch already: when
+    a batch is repeated, the failure may have come between a table's commit and the call.
     """
     tables = {s.name: open_table(trips.sparkSession, folder, s) for s in statistics}
     due = [s for s in statistics if stream is None or not tables[s.name].has(stream, batch_id)]
@@ -53,14 +53,8 @@ def add_to_tables(
         else:
             new = statistic.from_combined(combined)
         table.update(partial(statistic.add, new), stream, batch_id)
-        if committed is not None:
-            committed(statistic, table)
 
     try:
-        if committed is not None:
-            for statistic in statistics:
-                if statistic not in due:
-                    committed(statistic, tables[statistic.name])
         if len(due) == 1:
             add(due[0])
         elif due:
@@ -69,6 +63,10 @@ def add_to_tables(
             with ThreadPoolExecutor(len(due)) as pool:
                 for done in [pool.submit(run(add), s) for s in due]:
                     done.result()
+        if committed is not None:
+            # One after the other: what they write to may be one place.
+            for statistic in statistics:
+                committed(statistic, tables[statistic.name])
     finally:
         if combined is not None:
             combined.unpersist()
