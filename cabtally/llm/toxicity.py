@@ -9,8 +9,10 @@ their weight. The model's posterior labels, soft ones, then train a linear class
 which also knows words that no voter has, and scores every text.
 
 Votes are counted per distinct set of voters that fired, so the model's steps are sums over
-a small table in Spark; the driver gets a few numbers per voter. The classifier is fitted
-on a bounded sample, ``SAMPLE`` documents of either kind.
+a small table in Spark; the driver gets a few numbers per voter. Voters are mined from at
+most ``LABELLED`` documents of either label, and the classifier is fitted on at most
+``SAMPLE`` documents of either posterior label. Only the rows' numbers of these samples,
+whose size is bounded so, are broadcast; texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cabtally.llm.common import numbered, stored, table
 
@@ -38,6 +41,8 @@ ROUNDS = 5
 #: Correlation from which two voters say the same. Below it, it is mostly that documents
 #: differ in language or in length, not that voters see the same words.
 CORRELATED = 0.4
+#: Labelled documents of either label that voters are mined from, at most.
+LABELLED = 20_000
 #: Documents of either posterior label that the classifier is fitted on, at most.
 SAMPLE = 5000
 #: Word beginnings that are features beside whole words, by length.
@@ -262,14 +267,15 @@ class Classifier:
         return cls(float(bias), dict(zip(names[used].tolist(), w[used].tolist(), strict=True)))
 
     def score(self, documents: DataFrame) -> DataFrame:
-        """``(row, score)`` of the documents ``(row, text)``."""
+        """``documents`` with ``_score``, from their column ``text``; nothing is moved."""
         weights, bias = self.weights, self.bias
+        names = [*documents.columns, "_score"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: dict[str, tuple[tuple[int, float], ...]] = {}
             for batch in batches:
                 scores = []
-                for text in batch.column(1).to_pylist():
+                for text in batch.column(names.index("text")).to_pylist():
                     found: dict[int, float] = {}
                     for word in _words(text):
                         own = known.get(word)
@@ -283,9 +289,17 @@ class Classifier:
                             found.update(own)
                     z = bias + math.fsum(found.values())
                     scores.append(1 / (1 + math.exp(-min(max(z, -30.0), 30.0))))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["row", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
 
-        return documents.select("row", "text").mapInArrow(run, "row long, score double")
+        schema = StructType([*documents.schema.fields, StructField("_score", DoubleType())])
+        return documents.mapInArrow(run, schema)
+
+
+def _sampled(rows: DataFrame, conditions: tuple[str, str], most: int) -> DataFrame:
+    """At most ``most`` of the ``rows`` for each condition, the same ones each time."""
+    order = F.xxhash64(F.col("row"), F.lit(1))
+    parts = [rows.where(c).orderBy(order, "row").limit(most) for c in conditions]
+    return stored(parts[0].union(parts[1]), "sample")
 
 
 def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, Classifier]:
@@ -297,16 +311,22 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, Classifi
         .groupBy("doc_id")
         .agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     )
-    labelled = documents.join(known, "doc_id").select("row", "text", "toxic")
-    number = {r.toxic: r["count"] for r in documents.select("doc_id").join(known, "doc_id").groupBy("toxic").count().collect()}
+    ids = documents.select("row", "doc_id")
+    labelled = stored(ids.join(known, "doc_id").select("row", "toxic"), "labelled")
+    number = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     toxic, clean = number.get(1, 0), number.get(0, 0)
-    mined = mined_voters(labelled, toxic, clean)
+    chosen = _sampled(labelled, ("toxic = 1", "toxic = 0"), LABELLED)
+    mined = mined_voters(
+        documents.join(F.broadcast(chosen), "row").select("text", "toxic"),
+        min(toxic, LABELLED),
+        min(clean, LABELLED),
+    )
 
     voted = stored(votes(documents, mined), "votes")
     patterns = stored(voted.groupBy("hits").agg(F.count("*").alias("n")), "vote-patterns")
     size = len(LEXICON) + len(PATTERNS) + len(mined)
     rows = (
-        voted.join(documents.select("row", "doc_id"), "row").join(known, "doc_id")
+        voted.join(labelled, "row")
         .select("toxic", F.explode("hits").alias("voter"))
         .groupBy("voter", "toxic").count().collect()
     )
@@ -315,8 +335,7 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, Classifi
         fired[r.toxic, r.voter] = r["count"]
     spoke = {
         r.toxic: r["count"]
-        for r in voted.where("size(hits) > 0").join(documents.select("row", "doc_id"), "row")
-        .join(known, "doc_id").groupBy("toxic").count().collect()
+        for r in voted.where("size(hits) > 0").join(labelled, "row").groupBy("toxic").count().collect()
     }
     quiet = [(n - spoke.get(k, 0) + 1) / (n + 2) for k, n in ((1, toxic), (0, clean))]
     model = LabelModel(
@@ -328,14 +347,10 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, Classifi
     if not patterns.isEmpty():
         model.fit(patterns)
 
-    judged = voted.join(
-        documents.select("row", "doc_id").where(~held_out(F.col("doc_id"))).select("row"), "row"
-    ).select("row", model.posterior().alias("p"))
-    judged = stored(judged, "posteriors")
-    order = F.xxhash64(F.col("row"), F.lit(1))
-    parts = [judged.where(c).orderBy(order).limit(SAMPLE) for c in ("p >= 0.5", "p < 0.5")]
-    chosen = stored(parts[0].union(parts[1]), "sample")
-    sample = documents.join(chosen, "row").select("text", "p")
+    judged = voted.join(ids.where(~held_out(F.col("doc_id"))).select("row"), "row")
+    judged = stored(judged.select("row", model.posterior().alias("p")), "posteriors")
+    chosen = _sampled(judged, ("p >= 0.5", "p < 0.5"), SAMPLE)
+    sample = documents.join(F.broadcast(chosen), "row").select("text", "p")
     return model, Classifier.fit(*sample_features(sample))
 
 
@@ -352,17 +367,15 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     else:
         rows = numbered(documents.select("doc_id", "text"), "row")
     _, classifier = train(rows, labels.select("doc_id", "toxic"))
-    scored = classifier.score(rows)
-    return rows.select("row", "doc_id").join(scored, "row")
+    return classifier.score(rows).select("row", "doc_id", F.col("_score").alias("score"))
 
 
 def clean_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The ``documents`` that score below ``threshold``, all their columns. They are read
     several times and have to come in the same order, as those of a file scan do."""
-    rows = numbered(documents, "_row")
-    scored = toxicity(rows.select(F.col("_row").alias("row"), "doc_id", "text"), labels)
-    clean = scored.where(F.col("score") < threshold).select(F.col("row").alias("_row"))
-    return rows.join(clean, "_row", "left_semi").drop("_row")
+    rows = numbered(documents.select("doc_id", "text"), "row")
+    _, classifier = train(rows, labels.select("doc_id", "toxic"))
+    return classifier.score(documents).where(F.col("_score") < threshold).drop("_score")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
