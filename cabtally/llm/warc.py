@@ -319,19 +319,25 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.map_from_entries(F.col("metadata")[0]["fields"]), "page_id").cast("long").alias("page_id"),
         (F.size("requests") == 1).alias("requested"),
     )
+    # Written, so that the join below meets no aggregation and Spark can split a response
+    # that very many revisits refer to. Responses refer to nothing and are not joined.
+    found = stored(found, "captures")
     whole = found.where("record_type = 'response'").select(
         F.col("capture_id").alias("refers"),
-        F.col("bytes").alias("whole_bytes"),
-        F.col("digest").alias("whole_digest"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
         F.col("page_id").alias("refers_to"),
     )
-    return found.join(whole, "refers", "left").select(
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    revisits = found.where("record_type = 'revisit'").join(whole, "refers", "left")
+    responses = found.where("record_type = 'response'").select(
         "page_id",
-        F.coalesce("whole_bytes", "bytes").alias("payload_bytes"),
-        F.coalesce("whole_digest", "digest").alias("payload_digest"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
         "record_type",
-        "refers_to",
+        F.lit(None).cast("long").alias("refers_to"),
     )
+    return responses.union(revisits.select(*columns))
 
 
 SQL = f"""
