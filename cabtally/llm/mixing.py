@@ -71,42 +71,36 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     )
 
 
-def _lnfact(x: str) -> str:
-    """SQL for ln(x!): Stirling's series seven steps up."""
-    steps = "*".join(f"({x}+{k}.0D)" for k in range(1, 8))
-    z = f"({x}+8.0D)"
-    return (
-        f"(({z}-0.5D)*ln({z})-{z}+{0.5 * math.log(2 * math.pi)!r}D"
-        f"+1.0D/(12.0D*{z})-1.0D/(360.0D*power({z},3))+1.0D/(1260.0D*power({z},5))-ln({steps}))"
-    )
-
-
-def _choose(n: str, k: str) -> str:
-    return f"({_lnfact(n)}-{_lnfact(k)}-{_lnfact(f'({n}-{k})')})"
-
-
 def _hypergeometric(total: str, kind: str, drawn: str, u: str) -> str:
     """SQL for how many of ``kind`` are among ``drawn`` of ``total``, from the uniform ``u``
     by inversion. Only what lies beyond twelve standard deviations, less than a double's
-    resolution of u, is left out of the sum."""
-    mean = f"({drawn}*{kind}/cast({total} AS double))"
-    spread = (
-        f"(12.0D*sqrt({mean}*(1.0D-{kind}/cast({total} AS double))"
-        f"*({total}-{drawn})/greatest({total}-1.0D,1.0D))+12.0D)"
+    resolution of u, is left out of the sum.
+
+    A transform of one element gives a value a name, so that every part of the formula is
+    in the plan once: the arguments are ``v``, the bounds ``b``, and ``f`` has ln(x!), by
+    Stirling's series seven steps up, of the nine factorials of the first probability.
+    """
+    mean = "(v.n*v.k/cast(v.t AS double))"
+    spread = f"(12.0D*sqrt({mean}*(1.0D-v.k/cast(v.t AS double))*(v.t-v.n)/greatest(v.t-1.0D,1.0D))+12.0D)"
+    low = f"greatest(0L,v.n-(v.t-v.k),cast(floor({mean}-{spread}) AS bigint))"
+    high = f"least(v.n,v.k,cast(ceil({mean}+{spread}) AS bigint))"
+    steps = "*".join(f"(x+{i}.0D)" for i in range(1, 8))
+    factorial = (
+        f"(x+7.5D)*ln(x+8.0D)-(x+8.0D)+{0.5 * math.log(2 * math.pi)!r}D+1.0D/(12.0D*(x+8.0D))"
+        f"-1.0D/(360.0D*power(x+8.0D,3))+1.0D/(1260.0D*power(x+8.0D,5))-ln({steps})"
     )
-    low = f"greatest(0L,{drawn}-({total}-{kind}),cast(floor({mean}-{spread}) AS bigint))"
-    high = f"least({drawn},{kind},cast(ceil({mean}+{spread}) AS bigint))"
-    first = (
-        f"exp({_choose(kind, 'low')}+{_choose(f'({total}-{kind})', f'({drawn}-low)')}"
-        f"-{_choose(total, drawn)})"
-    ).replace("low", f"cast({low} AS double)")
-    ratio = f"(({kind}-k)*({drawn}-k*1.0D)/((k+1.0D)*({total}-{kind}-{drawn}+k+1.0D)))"
-    draw = (
-        f"aggregate(sequence({low},{high}),named_struct('p',{first},'c',0.0D,'pick',{low}),"
-        f"(h,k)->named_struct('p',if(k<{high},h.p*{ratio},0.0D),'c',h.c+h.p,"
-        f"'pick',if(h.c+h.p<{u},least(k+1,{high}),h.pick)),h->h.pick)"
+    of = "v.k,b.lo,v.k-b.lo,v.t-v.k,v.n-b.lo,v.t-v.k-v.n+b.lo,v.t,v.n,v.t-v.n"
+    first = "exp(f[0]-f[1]-f[2]+f[3]-f[4]-f[5]-f[6]+f[7]+f[8])"
+    ratio = "((v.k-i)*(v.n-i*1.0D)/((i+1.0D)*(v.t-v.k-v.n+i+1.0D)))"
+    walk = (
+        f"aggregate(sequence(b.lo,b.hi),named_struct('p',{first},'c',0.0D,'pick',b.lo),"
+        f"(h,i)->named_struct('p',if(i<b.hi,h.p*{ratio},0.0D),'c',h.c+h.p,"
+        "'pick',if(h.c+h.p<v.u,least(i+1,b.hi),h.pick)),h->h.pick)"
     )
-    return f"if({kind}=0 OR {drawn}=0,0L,if({kind}={total},{drawn},{draw}))"
+    named = f"transform(array(transform(array({of}),x->{factorial})),f->{walk})[0]"
+    bounded = f"transform(array(named_struct('lo',{low},'hi',{high})),b->{named})[0]"
+    draw = f"if(v.k=0 OR v.n=0,0L,if(v.k=v.t,v.n,{bounded}))"
+    return f"transform(array(named_struct('t',{total},'k',{kind},'n',{drawn},'u',{u})),v->{draw})[0]"
 
 
 def _uniform(*parts: str) -> str:
