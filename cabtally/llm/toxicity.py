@@ -44,7 +44,7 @@ CORRELATED = 0.4
 #: Labelled documents of either label that voters are mined from, at most.
 LABELLED = 20_000
 #: Documents of either posterior label that the classifier is fitted on, at most.
-SAMPLE = 5000
+SAMPLE = 3000
 #: Word beginnings that are features beside whole words, by length.
 BEGINNINGS = (4, 5)
 THRESHOLD = 0.7
@@ -241,8 +241,9 @@ class Classifier:
     def fit(cls, features: np.ndarray, offsets: np.ndarray, p: np.ndarray, steps: int = 300) -> Classifier:
         if not len(p):
             return cls(math.log(0.05 / 0.95), {})
-        row = np.repeat(np.arange(len(p)), np.diff(offsets))
+        row = np.repeat(np.arange(len(p), dtype=np.int32), np.diff(offsets))
         names, column = np.unique(features, return_inverse=True)
+        column = column.astype(np.int32)
         toxic = np.bincount(column, p[row], len(names))
         number = np.bincount(column, minlength=len(names))
         base = p.sum() / len(p)
