@@ -9,10 +9,12 @@ their weight. The model's posterior labels, soft ones, then train a linear class
 which also knows words that no voter has, and scores every text.
 
 Votes are counted per distinct set of voters that fired, so the model's steps are sums over
-a small table in Spark; the driver gets a few numbers per voter. Voters are mined from at
-most ``LABELLED`` documents of either label, and the classifier is fitted on at most
-``SAMPLE`` documents of either posterior label. Only the rows' numbers of these samples,
-whose size is bounded so, are broadcast; texts are never shuffled.
+a small table in Spark; the driver gets a few numbers per voter. Nothing is sampled: voters
+are mined from all labelled documents, every feature with enough evidence for their number
+is one, and the classifier is fitted on all documents that are not held out, by gradients
+that Spark sums over the distinct sets of features that may tell. The driver and the workers
+hold a number for each such feature. Posteriors are worked out from the text where they are
+needed, so only labelled texts are shuffled, once.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,25 +34,20 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cabtally.llm.common import numbered, stored, table
 
-#: Mined voters, how many toxic documents each has to be found in at least, and how many
-#: times as often as in clean ones.
-MINED = 150
-SUPPORT = 5
+#: How many times as often as in clean documents a voter has to be found in toxic ones.
 ODDS = 20
 #: Rounds of estimating accuracies before and after correlations are known.
 ROUNDS = 5
 #: Correlation from which two voters say the same. Below it, it is mostly that documents
 #: differ in language or in length, not that voters see the same words.
 CORRELATED = 0.4
-#: Labelled documents of either label that voters are mined from, at most.
-LABELLED = 20_000
-#: Documents of either posterior label that the classifier is fitted on, at most.
-SAMPLE = 3000
 #: Word beginnings that are features beside whole words, by length.
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6, 8)
 THRESHOLD = 0.7
 #: Features whose weights a worker keeps; a bound of memory only.
 KEPT_WORDS = 500_000
+#: Steps of fitting the classifier, at most; each is a Spark job.
+STEPS = 150
 
 LEXICON = ("idiot", "moron", "stupid", "scum", "trash", "loser", "pathetic", "worthless", "disgusting", "bastard")
 #: Patterns over lower-case text; each is a voter.
@@ -101,27 +99,57 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
     )
 
 
+def evidence(toxic: Column, clean: Column, all_toxic: int, all_clean: int) -> Column:
+    """Logarithm of one over a bound of the chance that at least this share of the documents
+    with a feature is toxic although the feature does not tell."""
+    base = all_toxic / (all_toxic + all_clean)
+    share = toxic / (toxic + clean)
+    other = F.when(clean > 0, clean * F.log((1 - share) / F.lit(1 - base))).otherwise(0.0)
+    return toxic * F.log(share / F.lit(base)) + other
+
+
 def mined_voters(labelled: DataFrame, toxic: int, clean: int) -> list[str]:
-    """The features that tell toxic documents best, by evidence: documents times log odds."""
+    """The features that tell toxic documents, best first: all that would stand out by chance
+    less than once among as many features as there are labelled documents. A word and its
+    beginnings are one family, of which the best votes."""
     if not toxic or not clean:
         return []
     ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
-    best = (
+    found = (
         feature_counts(labelled)
-        .where((F.col("toxic") >= SUPPORT) & (ratio > ODDS))
-        .orderBy((F.col("toxic") * F.log(ratio)).desc(), "feature")
-        .limit(MINED)
+        .where((F.col("toxic") > 0) & (ratio > ODDS))
+        .withColumn("evidence", evidence(F.col("toxic"), F.col("clean"), toxic, clean))
+        .where(F.col("evidence") > math.log(toxic + clean))
+        .orderBy(F.col("evidence").desc(), F.length("feature"), "feature")
+        .select("feature")
+        .collect()
     )
-    return [row.feature for row in best.select("feature").collect()]
+    rank = {row.feature: i for i, row in enumerate(found)}
+    return [f for f, i in rank.items() if all(rank.get(b, i) >= i for b in _features(f.rstrip("-"))[1:])]
+
+
+class Voters:
+    """Numbers of the voters: lexicon, patterns, then mined features."""
+
+    def __init__(self, mined: list[str]):
+        self._lexicon = {word: i for i, word in enumerate(LEXICON)}
+        self._patterns = [(len(LEXICON) + i, p) for i, p in enumerate(PATTERNS)]
+        first = len(LEXICON) + len(PATTERNS)
+        self._mined = {f: first + i for i, f in enumerate(mined)}
+        self.size = first + len(mined)
+
+    def of_text(self, lower: str) -> set[int]:
+        return {i for i, p in self._patterns if re.search(p, lower)}
 
+    def of_word(self, word: str) -> tuple[int, ...]:
+        """The lexicon's voter, and the best of the mined ones of the word's family."""
+        mined = [self._mined[f] for f in _features(word) if f in self._mined]
+        return ((self._lexicon[word],) if word in self._lexicon else ()) + ((min(mined),) if mined else ())
 
-def votes(documents: DataFrame, mined: list[str]) -> DataFrame:
-    """``(row, hits)``: the sorted numbers of the voters that fire on each document
-    ``(row, text)``: lexicon, patterns, then mined features."""
-    lexicon = {word: i for i, word in enumerate(LEXICON)}
-    patterns = [(len(LEXICON) + i, re.compile(p)) for i, p in enumerate(PATTERNS)]
-    first = len(LEXICON) + len(PATTERNS)
-    of_feature = {f: first + i for i, f in enumerate(mined)}
+
+def votes(documents: DataFrame, voters: Voters) -> DataFrame:
+    """``(doc_id, hits)``: the sorted numbers of the voters that fire on each document
+    ``(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
@@ -129,20 +157,19 @@ def votes(documents: DataFrame, mined: list[str]) -> DataFrame:
             rows = []
             for text in batch.column(1).to_pylist():
                 lower = (text or "").lower()
-                hits = {i for i, p in patterns if p.search(lower)}
+                hits = voters.of_text(lower)
                 for word in set(_TOKEN.findall(lower)):
                     found = known.get(word)
                     if found is None:
-                        found = tuple(of_feature[f] for f in _features(word) if f in of_feature)
-                        found += (lexicon[word],) if word in lexicon else ()
                         if len(known) >= KEPT_WORDS:
                             known.clear()
-                        known[word] = found
+                        found = known[word] = voters.of_word(word)
                     hits.update(found)
                 rows.append(sorted(hits))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["row", "hits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "hits"])
 
-    return documents.select("row", "text").mapInArrow(run, "row long, hits array<int>")
+    kind = dict(documents.dtypes)["doc_id"]
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, hits array<int>")
 
 
 class LabelModel:
@@ -155,27 +182,27 @@ class LabelModel:
         self.share = np.ones(len(toxic))  # what is left of a voter's weight
         self.correlations: dict[tuple[int, int], float] = {}
 
-    def posterior(self, hits: str = "hits") -> Column:
-        """Probability of toxic given which voters fired; the others have abstained."""
+    def judge(self):
+        """A function from lists of hits to the probabilities of toxic given which voters
+        fired; the others have abstained."""
         base = math.log(self.prior / (1 - self.prior))
-        weights = F.array(*[F.lit(float(w)) for w in np.log(self.toxic / self.clean) * self.share])
-        total = F.aggregate(hits, F.lit(base), lambda s, j: s + F.element_at(weights, j + 1))
-        none = F.lit(base + math.log(self.silent[0] / self.silent[1]))
-        return 1 / (1 + F.exp(-F.when(F.size(hits) == 0, none).otherwise(total)))
+        weights = np.log(self.toxic / self.clean) * self.share
+        none = base + math.log(self.silent[0] / self.silent[1])
+
+        def probabilities(hits: list[list[int]]) -> np.ndarray:
+            sizes = np.fromiter(map(len, hits), np.int64, len(hits))
+            flat = np.fromiter(chain.from_iterable(hits), np.int64, sizes.sum())
+            total = base + np.bincount(np.repeat(np.arange(len(hits)), sizes), weights[flat], len(hits))
+            return 1 / (1 + np.exp(-np.clip(np.where(sizes == 0, none, total), -500, 500)))
+
+        return probabilities
 
     def fit(self, patterns: DataFrame, rounds: int = ROUNDS) -> LabelModel:
         """``patterns``: ``(hits, n)``, how many documents have exactly these votes."""
         for at in range(2 * rounds):
             if at == rounds:
                 self._correlate(patterns)
-            weighed = patterns.withColumn("p", self.posterior())
-            rows = (
-                weighed.select(F.explode(F.concat("hits", F.array(F.lit(-1)))).alias("voter"), "n", "p")
-                .groupBy("voter")
-                .agg(F.sum(F.col("n") * F.col("p")).alias("toxic"), F.sum("n").alias("all"))
-                .collect()
-            )
-            fired = {r.voter: (r.toxic, r["all"]) for r in rows}
+            fired = {r.voter: (r.toxic, r["all"]) for r in self._fired(patterns).collect()}
             toxic, every = fired.pop(-1)
             before = np.concatenate([self.toxic, self.clean])
             for j in range(len(self.toxic)):
@@ -188,20 +215,63 @@ class LabelModel:
                 break
         return self
 
+    def _fired(self, patterns: DataFrame) -> DataFrame:
+        """``(voter, toxic, all)``: how many documents each voter fires on, toxic ones by
+        their posteriors; all documents as voter -1."""
+        judge, size = self.judge(), len(self.toxic)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            toxic, every = np.zeros(size + 1), np.zeros(size + 1, np.int64)
+            for batch in batches:
+                hits, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+                p = judge(hits) * n
+                for own, one, number in zip(hits, p.tolist(), n.tolist(), strict=True):
+                    own = [-1, *own]
+                    toxic[own] += one
+                    every[own] += number
+            some = np.flatnonzero(every)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.where(some == size, -1, some), pa.int32()), pa.array(toxic[some]), pa.array(every[some])],
+                ["voter", "toxic", "all"],
+            )
+
+        found = patterns.select("hits", "n").mapInArrow(run, "voter int, toxic double, all long")
+        return found.groupBy("voter").agg(F.sum("toxic").alias("toxic"), F.sum("all").alias("all"))
+
     def _correlate(self, patterns: DataFrame) -> None:
         """Correlations within toxic documents; a voter's weight is shared with those that
         fire with it beyond chance."""
-        pairs = patterns.withColumn("p", self.posterior() * F.col("n")).where("size(hits) > 1")
-        pairs = pairs.select("p", "hits", F.explode("hits").alias("i"))
-        pairs = pairs.select("p", "i", F.explode("hits").alias("j")).where("i < j")
-        total = patterns.agg(F.sum(self.posterior() * F.col("n"))).first()[0] or 0.0
-        self.correlations = {}
-        for row in pairs.groupBy("i", "j").agg(F.sum("p").alias("both")).collect():
-            a, b, both = self.toxic[row.i], self.toxic[row.j], row.both / max(total, 1.0)
-            spread = math.sqrt(a * (1 - a) * b * (1 - b))
-            value = min((both - a * b) / spread, 1.0) if spread else 0.0
-            if value > CORRELATED:
-                self.correlations[row.i, row.j] = value
+        judge, rates = self.judge(), self.toxic.copy()
+        total = max(self._fired(patterns).where("voter = -1").first().toxic, 1.0)
+
+        def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hits, both = batch.column(0).to_pylist(), Counter()
+                for own, p in zip(hits, (judge(hits) * batch.column(1).to_numpy()).tolist(), strict=True):
+                    for pair in combinations(own, 2):
+                        both[pair] += p
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([i for i, _ in both], pa.int32()),
+                        pa.array([j for _, j in both], pa.int32()),
+                        pa.array(both.values(), pa.float64()),
+                    ],
+                    ["i", "j", "both"],
+                )
+
+        def correlated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                i, j, both = (c.to_numpy() for c in batch.columns)
+                a, b = rates[i], rates[j]
+                spread = np.sqrt(a * (1 - a) * b * (1 - b))
+                value = np.minimum((both / total - a * b) / np.where(spread > 0, spread, np.inf), 1.0)
+                far = value > CORRELATED
+                yield pa.RecordBatch.from_arrays([pa.array(c[far]) for c in (i, j, value)], ["i", "j", "value"])
+
+        found = patterns.where("size(hits) > 1").select("hits", "n").mapInArrow(pairs, "i int, j int, both double")
+        found = found.groupBy("i", "j").agg(F.sum("both").alias("both"))
+        found = found.mapInArrow(correlated, "i int, j int, value double").collect()
+        self.correlations = {(r.i, r.j): r.value for r in found}
         beside = np.zeros(len(self.toxic))
         for (i, j), value in self.correlations.items():
             beside[i] += value
@@ -213,21 +283,49 @@ def _hash(feature: str) -> int:
     return xxhash.xxh64_intdigest(feature) >> 1
 
 
-def sample_features(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, where each document's begin, and posteriors of ``(text, p)``."""
+def _judged(documents: DataFrame, voters: Voters, model: LabelModel, feature_of, emit, schema: str) -> DataFrame:
+    """``emit(features, offsets, p)`` of each batch of the ``documents`` ``(text)``: the
+    features ``feature_of`` gives numbers, sorted, where each document's begin, posteriors."""
+    judge = model.judge()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
         for batch in batches:
-            rows = [
-                sorted({_hash(f) for w in _words(t) for f in _features(w)}) for t in batch.column(0).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int64())), batch.column(1)], ["features", "p"])
+            rows, offsets, parts = [], [0], []
+            for text in batch.column(0).to_pylist():
+                lower, own = (text or "").lower(), set()
+                hits = voters.of_text(lower)
+                for word in set(_TOKEN.findall(lower)):
+                    found = known.get(word)
+                    if found is None:
+                        numbers = (feature_of(_hash(f)) for f in _features(word))
+                        if len(known) >= KEPT_WORDS:
+                            known.clear()
+                        found = known[word] = (voters.of_word(word), tuple(n for n in numbers if n is not None))
+                    hits.update(found[0])
+                    own.update(found[1])
+                rows.append(sorted(hits))
+                parts.append(np.sort(np.fromiter(own, np.int64, len(own))))
+                offsets.append(offsets[-1] + len(own))
+            if rows:
+                yield emit(np.concatenate(parts), np.array(offsets), judge(rows))
+
+    return documents.select("text").mapInArrow(run, schema)
+
 
-    found = sample.select("text", "p").mapInArrow(run, "features array<long>, p double").toArrow()
-    lists = found.column("features").combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int64()))
-    return lists.values.to_numpy(), lists.offsets.to_numpy(), found.column("p").to_numpy()
+def _may_tell(number, toxic, base: float, log):
+    """Whether a feature of ``number`` documents, ``toxic`` of them by posteriors, may tell."""
+    odds = (toxic + 0.1 * base) / (number - toxic + 0.1 * (1 - base)) * ((1 - base) / max(base, 1e-9))
+    return (number >= 3) & (log(odds) > 1.5)
+
+
+def _slopes(row, column, n, p, w, bias) -> tuple[np.ndarray, float, float]:
+    """Derivatives of the loss to ``w`` and ``bias``, and the loss, over sets of features
+    that ``n`` documents have each, of which ``p`` are toxic."""
+    z = bias + np.bincount(row, w[column], len(p))
+    error = n / (1 + np.exp(-np.clip(z, -500, 500))) - p
+    loss = (n * np.logaddexp(0, z) - p * z).sum()
+    return np.bincount(column, error[row], len(w)), float(error.sum()), float(loss)
 
 
 class Classifier:
@@ -238,35 +336,112 @@ class Classifier:
         self.bias, self.weights = bias, weights
 
     @classmethod
-    def fit(cls, features: np.ndarray, offsets: np.ndarray, p: np.ndarray, steps: int = 300) -> Classifier:
+    def fit(cls, features: np.ndarray, offsets: np.ndarray, p: np.ndarray, steps: int = STEPS) -> Classifier:
+        """From documents at hand: their features, where each one's begin, posteriors."""
         if not len(p):
             return cls(math.log(0.05 / 0.95), {})
-        row = np.repeat(np.arange(len(p), dtype=np.int32), np.diff(offsets))
+        row = np.repeat(np.arange(len(p)), np.diff(offsets))
         names, column = np.unique(features, return_inverse=True)
-        column = column.astype(np.int32)
-        toxic = np.bincount(column, p[row], len(names))
-        number = np.bincount(column, minlength=len(names))
         base = p.sum() / len(p)
-        clean = number - toxic
-        odds = np.log((toxic + 0.1 * base) / (clean + 0.1 * (1 - base)) * (1 - base) / max(base, 1e-9))
-        good = (number >= 3) & (odds > 1.5)
-        place = np.cumsum(good) - 1
-        names, keep = names[good], good[column]
-        row, column = row[keep], place[column[keep]]
+        good = _may_tell(np.bincount(column, minlength=len(names)), np.bincount(column, p[row], len(names)), base, np.log)
+        keep = good[column]
+        row, column = row[keep], (np.cumsum(good) - 1)[column[keep]]
+        own = np.bincount(row, minlength=len(p)) + 1
+        curve = np.bincount(column, own[row], good.sum()) / 4
+        return cls._descend(names[good], base, curve, own.sum() / 4, lambda w, b: _slopes(row, column, 1, p, w, b), steps)
+
+    @classmethod
+    def _descend(cls, names, base: float, curve, bias_curve: float, slopes, steps: int) -> Classifier:
+        """Accelerated descent with a small ridge, weights projected to zero or more. The
+        steps' sizes follow from bounds of the loss's second derivatives."""
         w, bias = np.zeros(len(names)), math.log(max(base, 1e-3) / max(1 - base, 1e-3))
-        # Adagrad with a small ridge, weights projected to zero or more.
-        sums, bias_sum = np.full(len(names), 1e-8), 1e-8
+        curve = curve + 0.05
+        at_w, at_bias, pace = w, bias, 1.0
         for _ in range(steps):
-            z = bias + np.bincount(row, w[column], len(p))
-            error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - p
-            grad = np.bincount(column, error[row], len(names)) + 0.05 * w
-            sums += grad * grad
-            w = np.maximum(w - 0.5 * grad / np.sqrt(sums), 0)
-            bias_sum += error.sum() ** 2
-            bias -= 0.5 * error.sum() / math.sqrt(bias_sum)
+            grad, bias_grad, _ = slopes(at_w, at_bias)
+            grad = grad + 0.05 * at_w
+            new = np.maximum(at_w - grad / curve, 0)
+            new_bias = at_bias - bias_grad / bias_curve
+            if ((at_w - new) * curve) @ (new - w) + (at_bias - new_bias) * bias_curve * (new_bias - bias) > 0:
+                pace = 1.0
+            after = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+            at_w = new + (pace - 1) / after * (new - w)
+            at_bias = new_bias + (pace - 1) / after * (new_bias - bias)
+            moved = max(np.abs(new - w).max(initial=0), abs(new_bias - bias))
+            w, bias, pace = new, new_bias, after
+            if moved < 1e-3:
+                break
         used = w > 1e-3
         return cls(float(bias), dict(zip(names[used].tolist(), w[used].tolist(), strict=True)))
 
+    @classmethod
+    def fit_all(cls, documents: DataFrame, voters: Voters, model: LabelModel, steps: int = STEPS) -> Classifier:
+        """From all ``documents`` ``(text)`` and their posteriors."""
+
+        def counts(features, offsets, p):
+            names, place = np.unique(features, return_inverse=True)
+            row = np.repeat(np.arange(len(p)), np.diff(offsets))
+            number, toxic = np.bincount(place, minlength=len(names)), np.bincount(place, p[row], len(names))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(names, -1)),
+                    pa.array(np.append(number, len(p))),
+                    pa.array(np.append(toxic, p.sum())),
+                ],
+                ["feature", "number", "toxic"],
+            )
+
+        found = _judged(documents, voters, model, int, counts, "feature long, number long, toxic double")
+        found = found.groupBy("feature").agg(F.sum("number").alias("number"), F.sum("toxic").alias("toxic"))
+        found = stored(found, "features")
+        every = found.where("feature = -1").first()
+        if every is None:
+            return cls(math.log(0.05 / 0.95), {})
+        base = every.toxic / every.number
+        good = found.where((F.col("feature") >= 0) & _may_tell(F.col("number"), F.col("toxic"), base, F.log))
+        names = np.sort(good.select("feature").toArrow().column(0).to_numpy())
+        numbers = {name: i for i, name in enumerate(names.tolist())}
+
+        def sets(features, offsets, p):
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(features, pa.int32()))
+            return pa.RecordBatch.from_arrays([lists, pa.array(p)], ["features", "p"])
+
+        found = _judged(documents, voters, model, numbers.get, sets, "features array<int>, p double")
+        found = stored(found.groupBy("features").agg(F.count("*").alias("n"), F.sum("p").alias("p")), "feature-sets")
+        size = len(names)
+
+        def summed(of) -> tuple[np.ndarray, float, float]:
+            """Sums over all sets of what ``of`` says, a number per feature and two more."""
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                total = np.zeros(size + 2)
+                for batch in batches:
+                    lists = batch.column(0)
+                    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                    total += np.append(*of(row, lists.flatten().to_numpy(), *(c.to_numpy() for c in batch.columns[1:])))
+                some = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["at", "value"])
+
+            parts = found.mapInArrow(run, "at long, value double").repartition(1 + size // 1_000_000, "at")
+            parts = parts.groupBy("at").agg(F.sum("value")).toArrow()
+            total = np.zeros(size + 2)
+            total[parts.column(0).to_numpy()] = parts.column(1).to_numpy()
+            return total[:size], float(total[size]), float(total[size + 1])
+
+        def curves(row, column, n, p):
+            own = n * (np.bincount(row, minlength=len(n)) + 1)
+            return np.bincount(column, own[row], size) / 4, (own.sum() / 4, 0.0)
+
+        def slopes(w, bias):
+            def of(row, column, n, p):
+                grad, bias_grad, loss = _slopes(row, column, n, p, w, bias)
+                return grad, (bias_grad, loss)
+
+            return summed(of)
+
+        curve, bias_curve, _ = summed(curves)
+        return cls._descend(names, base, curve, bias_curve, slopes, steps)
+
     def score(self, documents: DataFrame) -> DataFrame:
         """``documents`` with ``_score``, from their column ``text``; nothing is moved."""
         weights, bias = self.weights, self.bias
@@ -296,47 +471,29 @@ class Classifier:
         return documents.mapInArrow(run, schema)
 
 
-def _sampled(rows: DataFrame, conditions: tuple[str, str], most: int) -> DataFrame:
-    """At most ``most`` of the ``rows`` for each condition, the same ones each time."""
-    order = F.xxhash64(F.col("row"), F.lit(1))
-    parts = [rows.where(c).orderBy(order, "row").limit(most) for c in conditions]
-    return stored(parts[0].union(parts[1]), "sample")
-
-
-def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, Classifier]:
-    """``documents``: ``(row, doc_id, text)``; ``labels``: ``(doc_id, toxic)``, of which those
-    of held-out ids and null ones are not used. Of several labels of an id the highest
-    counts."""
+def train(documents: DataFrame, labels: DataFrame) -> Classifier:
+    """``documents``: ``(doc_id, text)``; ``labels``: ``(doc_id, toxic)``, of which those of
+    held-out ids and null ones are not used. Of several labels of an id the highest counts."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     )
-    ids = documents.select("row", "doc_id")
-    labelled = stored(ids.join(known, "doc_id").select("row", "toxic"), "labelled")
-    number = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    known = stored(known, "labelled")
+    number = {r.toxic: r["count"] for r in documents.select("doc_id").join(known, "doc_id").groupBy("toxic").count().collect()}
     toxic, clean = number.get(1, 0), number.get(0, 0)
-    chosen = _sampled(labelled, ("toxic = 1", "toxic = 0"), LABELLED)
-    mined = mined_voters(
-        documents.join(F.broadcast(chosen), "row").select("text", "toxic"),
-        min(toxic, LABELLED),
-        min(clean, LABELLED),
-    )
+    learned = documents.where(~held_out(F.col("doc_id")))
+    voters = Voters(mined_voters(learned.join(known, "doc_id").select("text", "toxic"), toxic, clean))
 
-    voted = stored(votes(documents, mined), "votes")
+    voted = stored(votes(documents, voters), "votes")
     patterns = stored(voted.groupBy("hits").agg(F.count("*").alias("n")), "vote-patterns")
-    size = len(LEXICON) + len(PATTERNS) + len(mined)
-    rows = (
-        voted.join(labelled, "row")
-        .select("toxic", F.explode("hits").alias("voter"))
-        .groupBy("voter", "toxic").count().collect()
-    )
-    fired = np.zeros((2, size))
-    for r in rows:
-        fired[r.toxic, r.voter] = r["count"]
+    labelled = stored(voted.join(known, "doc_id").groupBy("hits", "toxic").count(), "labelled-votes")
+    rows = labelled.select("toxic", "count", F.explode("hits").alias("voter"))
+    fired = np.zeros((2, voters.size))
+    for r in rows.groupBy("voter", "toxic").agg(F.sum("count").alias("n")).collect():
+        fired[r.toxic, r.voter] = r.n
     spoke = {
-        r.toxic: r["count"]
-        for r in voted.where("size(hits) > 0").join(labelled, "row").groupBy("toxic").count().collect()
+        r.toxic: r.n for r in labelled.where("size(hits) > 0").groupBy("toxic").agg(F.sum("count").alias("n")).collect()
     }
     quiet = [(n - spoke.get(k, 0) + 1) / (n + 2) for k, n in ((1, toxic), (0, clean))]
     model = LabelModel(
@@ -347,12 +504,7 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, Classifi
     )
     if not patterns.isEmpty():
         model.fit(patterns)
-
-    judged = voted.join(ids.where(~held_out(F.col("doc_id"))).select("row"), "row")
-    judged = stored(judged.select("row", model.posterior().alias("p")), "posteriors")
-    chosen = _sampled(judged, ("p >= 0.5", "p < 0.5"), SAMPLE)
-    sample = documents.join(F.broadcast(chosen), "row").select("text", "p")
-    return model, Classifier.fit(*sample_features(sample))
+    return Classifier.fit_all(learned, voters, model)
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -367,15 +519,14 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
         rows = documents.select("row", "doc_id", "text")
     else:
         rows = numbered(documents.select("doc_id", "text"), "row")
-    _, classifier = train(rows, labels.select("doc_id", "toxic"))
+    classifier = train(rows.select("doc_id", "text"), labels.select("doc_id", "toxic"))
     return classifier.score(rows).select("row", "doc_id", F.col("_score").alias("score"))
 
 
 def clean_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The ``documents`` that score below ``threshold``, all their columns. They are read
-    several times and have to come in the same order, as those of a file scan do."""
-    rows = numbered(documents.select("doc_id", "text"), "row")
-    _, classifier = train(rows, labels.select("doc_id", "toxic"))
+    several times, in any order."""
+    classifier = train(documents.select("doc_id", "text"), labels.select("doc_id", "toxic"))
     return classifier.score(documents).where(F.col("_score") < threshold).drop("_score")
 
 

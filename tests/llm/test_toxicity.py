@@ -9,6 +9,7 @@ from cabtally.llm.toxicity import (
     LabelModel,
     clean_documents,
     held_out,
+    mined_voters,
     op3_toxicity,
     toxicity,
 )
@@ -89,3 +90,13 @@ def test_classifier_weights_what_tells_the_labels():
     model = Classifier.fit(np.concatenate(rows), offsets, p)
     assert model.weights[1] > 3 and max([0, *(w for f, w in model.weights.items() if f != 1)]) < 1
     assert Classifier.fit(np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0)).weights == {}
+
+
+def test_every_feature_with_evidence_is_a_voter_once_per_family(spark):
+    letters = "abcdefghijklmnopqrst"
+    rare = [f"{a}{b}zz" for a in letters for b in letters]  # 400 words, each in 6 of 400 toxic documents
+    rows = [(" ".join(rare[(i + k) % 400] for k in range(6)), 1) for i in range(400)]
+    rows += [(f"fine{letters[i % 20]} text", 0) for i in range(4000)]
+    assert set(mined_voters(spark.createDataFrame(rows, "text string, toxic int"), 400, 4000)) == set(rare)
+    rows = [("quorvelnight", 1)] * 4 + [(f"fine{letters[i % 20]} text", 0) for i in range(400)]
+    assert mined_voters(spark.createDataFrame(rows, "text string, toxic int"), 4, 400) == ["quor-"]
