@@ -100,3 +100,13 @@ def test_every_feature_with_evidence_is_a_voter_once_per_family(spark):
     assert set(mined_voters(spark.createDataFrame(rows, "text string, toxic int"), 400, 4000)) == set(rare)
     rows = [("quorvelnight", 1)] * 4 + [(f"fine{letters[i % 20]} text", 0) for i in range(400)]
     assert mined_voters(spark.createDataFrame(rows, "text string, toxic int"), 4, 400) == ["quor-"]
+
+
+def test_classifier_learns_from_every_document(spark):
+    # Exclamation marks are a voter but no feature, so the score is the share of toxic texts.
+    texts = [(i, "alpha beta gamma" + " !!!" * (i % 100 == 0)) for i in range(15_000)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 100 == 0)) for i in range(0, 15_000, 10)], "doc_id long, toxic int")
+    scores = [r.score for r in toxicity(documents, labels).collect()]
+    assert len(scores) == 15_000
+    assert min(scores) == max(scores) == pytest.approx(0.01, abs=0.003)
