@@ -10,6 +10,8 @@ from cabtally.sources.storage import scratch_folder
 #: White space throughout the operators: ASCII blank, tab, LF, VT, FF, CR.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
+#: The session's number of cores that scans are split for.
+CORES = "spark.sql.leafNodeDefaultParallelism"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -28,7 +30,12 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
 def numbered(frame: DataFrame, name: str) -> DataFrame:
     """A column that tells rows apart, repeated ones too. It is the same each time the
     frame is computed as long as its rows come in the same order: true of a file scan and
-    of a sorted partition, so give other frames through ``stored``."""
+    of a sorted partition, so give other frames through ``stored``. Spark splits files anew
+    for each action, by the number of cores there are; that number is held fixed in the
+    session, so a later scan has the same partitions when executors have come or gone."""
+    spark = frame.sparkSession
+    if spark.conf.get(CORES, None) is None:
+        spark.conf.set(CORES, str(spark.sparkContext.defaultParallelism))
     return frame.withColumn(name, F.monotonically_increasing_id())
 
 

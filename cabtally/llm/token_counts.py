@@ -124,13 +124,13 @@ def token_counts(documents: DataFrame, path: str, per_file: int = DOCUMENTS_PER_
     and empty texts have no tokens; null and repeated ids are rows like any other."""
     spark = documents.sparkSession
     folder = f"{scratch_folder(spark, 'tokens')}/files"
+    rows = numbered(documents.select("doc_id"), "row")  # before they are written: fixes the splits
     write_token_files(documents, folder, path, per_file)
     lengths = document_lengths(separators(spark, folder, block))
     part = F.regexp_extract("file", r"^part-(\d+)-.*-c(\d+)", 1).cast("long")
     number = F.regexp_extract("file", r"^part-(\d+)-.*-c(\d+)", 2).cast("long")
     # As monotonically_increasing_id numbers the rows of a partition.
     row = F.shiftleft(part, 33) + number * per_file + F.col("ordinal")
-    rows = numbered(documents.select("doc_id"), "row")
     return rows.join(lengths.select(row.alias("row"), "n_tokens"), "row").select("doc_id", "n_tokens")
 
 
