@@ -39,6 +39,14 @@ def numbered(frame: DataFrame, name: str) -> DataFrame:
     return frame.withColumn(name, F.monotonically_increasing_id())
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, or it with underscores behind if ``frame`` has such a column."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without_blanks(text: Column) -> Column:
     for blank in BLANKS:
         text = F.replace(text, F.lit(blank), F.lit(""))

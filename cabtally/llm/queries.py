@@ -9,6 +9,7 @@ from cabtally.llm import (
     exact_dedup,
     html_text,
     mixing,
+    quality,
     simhash,
     token_counts,
     toxicity,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_chat_format": chat.op10_chat_format,
+    "op12_quality_rules": quality.op12_quality_rules,
 }
 
 #: The others have no equivalent in SQL; tests compare them with brute force.
@@ -34,4 +36,5 @@ ORACLE = {
     "op2_mix_sources": mixing.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op10_chat_format": chat.SQL,
+    "op12_quality_rules": quality.SQL,
 }

@@ -9,7 +9,7 @@ from cabtally.llm.queries import ORACLE, QUERIES
 
 def test_each_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
     assert set(ORACLE) <= set(entry_points.oracle_sql())
 
