@@ -9,6 +9,7 @@ from cabtally.llm import (
     exact_dedup,
     html_text,
     mixing,
+    prefix_trie,
     quality,
     simhash,
     token_counts,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_chat_format": chat.op10_chat_format,
     "op12_quality_rules": quality.op12_quality_rules,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 #: The others have no equivalent in SQL; tests compare them with brute force.
@@ -37,4 +39,5 @@ ORACLE = {
     "op7_exact_dedup": exact_dedup.SQL,
     "op10_chat_format": chat.SQL,
     "op12_quality_rules": quality.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
