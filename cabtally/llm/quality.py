@@ -97,9 +97,9 @@ def base_failed(prefix: str = "") -> Column:
 
 
 def _measure(name: str, prefix: str = "") -> Column:
-    """A measure of a document with words, in thousandths."""
+    """A measure of a document in thousandths; null if it has no words."""
     of = {"word_length": "word_chars", "symbols": "n_symbols", "dup_lines": "n_dup_lines", "repeats": "n_repeat_words"}
-    return F.floor(1000 * F.col(prefix + of[name]) / F.col(f"{prefix}n_words"))
+    return F.floor(F.try_divide(1000 * F.col(prefix + of[name]), F.col(f"{prefix}n_words")))
 
 
 def bucket(value: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from cabtally.llm import (
     bpe,
     chat,
+    divergence,
     embeddings,
     exact_dedup,
     html_text,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_chat_format": chat.op10_chat_format,
+    "op11_divergence_audit": divergence.op11_divergence_audit,
     "op12_quality_rules": quality.op12_quality_rules,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
@@ -38,6 +40,7 @@ ORACLE = {
     "op2_mix_sources": mixing.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op10_chat_format": chat.SQL,
+    "op11_divergence_audit": divergence.SQL,
     "op12_quality_rules": quality.SQL,
     "op13_prefix_trie": prefix_trie.SQL,
 }

@@ -1,0 +1,118 @@
+"""Quality rules against Python's own counting, and what thresholds follow."""
+
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from cabtally.llm.quality import COUNTS, LEAST_DOCUMENTS, bucket, good_documents, judged, measured, quality, sketches, thresholds
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def plain(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [line for line in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text or "")),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+TEXTS = [
+    None,
+    "",
+    " \t\n\x0b\f\r",
+    "a",
+    "a b c",
+    "a b c a b c",
+    "a a a",
+    "a a a a",
+    "x\n\nx\n x\nx",
+    "# é|ß <b>\r\n& $% *\x85\xa0 word",
+    "one two three four one two three",
+    "\n".join(["same line here"] * 40),
+    "�\U0001f600 \x00 b \x00 b",
+    "long " * 60_000 + " ".join(f"w{i}" for i in range(60_000)),
+]
+
+
+def test_counts_equal_python(spark):
+    rng = random.Random(1)
+    texts = TEXTS + ["".join(rng.choice("ab \n#\t") for _ in range(rng.randrange(60))) for _ in range(300)]
+    rows = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: tuple(r[c] for c in COUNTS) for r in measured(rows).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+
+
+def prose(rng, n=80):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8))) for _ in range(n))
+
+
+def code(rng, n=80):
+    return " ".join(rng.choice("#*$%&|<>") * rng.randrange(2) + w for w in prose(rng, n).split())
+
+
+def made():
+    rng = random.Random(5)
+    rows = [("en", "news", prose(rng)) for _ in range(200)] + [("en", "code", code(rng)) for _ in range(200)]
+    rows += [("en", "news", " | ".join(prose(rng).split())) for _ in range(30)]  # junk among the news
+    rows += [("en", "few", prose(rng)) for _ in range(5)] + [("en", "few", " # ".join(prose(rng).split()))]
+    rows += [("xx", "tiny", prose(rng)), ("xx", "tiny", " # ".join(prose(rng).split())), (None, None, prose(rng))]
+    return [(i, text, lang, source) for i, (lang, source, text) in enumerate(rows)]
+
+
+def test_thresholds_follow_the_source(spark):
+    rows = made()
+    kept = {r.doc_id: r.kept for r in quality(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, text, _, source in rows:
+        junk = " | " in text or " # " in text
+        assert kept[i] == (not junk or source == "code"), (i, source)
+
+
+def test_sketches_are_merged_by_adding(spark):
+    rows = measured(spark.createDataFrame(made(), SCHEMA)).drop("text")
+    whole = {tuple(r) for r in sketches(rows).collect()}
+    parts = sketches(rows.where("doc_id % 2 = 0")).union(sketches(rows.where("doc_id % 2 = 1")))
+    both = parts.groupBy("lang", "source", "measure", "low").sum("n")
+    assert {tuple(r) for r in both.collect()} == whole
+    found = {(r.lang, r.source): r for r in thresholds(sketches(rows)).collect()}
+    assert found["en", "few"].documents < LEAST_DOCUMENTS
+    assert found["en", "few"].fences.symbols_high != found["en", "code"].fences.symbols_high
+    assert found["xx", "tiny"].fences == found[None, None].fences
+
+
+def test_buckets_are_narrow_and_hold_their_value(spark):
+    rows = spark.range(5000).selectExpr("id * id * 7 AS v").withColumn("low", bucket(__import__("pyspark").sql.functions.col("v")))
+    for v, low in rows.collect():
+        assert low <= v and v - low <= low / 63 and (v >= 128 or v == low)
+
+
+def test_nulls_repeats_ties_and_empty_tables(spark):
+    rows = [(None, TEXTS[11], None, "a"), (1, None, "en", None), (1, None, "en", None), (2, prose(random.Random(2)), None, None)]
+    got = quality(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id or -1, r.base_failed, r.kept) for r in got) == [
+        (-1, True, False), (1, True, False), (1, True, False), (2, False, True)]
+    assert quality(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert good_documents(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("names", [[], ["words", "lines", "windows", "fences"], ["lang_of", "source_of", "kept", "quality_n_words", "measure"]])
+def test_good_documents_keep_their_columns(spark, names):
+    frame = spark.createDataFrame(made(), SCHEMA).selectExpr("*", *[f"concat('own', doc_id) AS {n}" for n in names])
+    good = good_documents(frame)
+    assert good.columns == frame.columns
+    ids = {r.doc_id for r in quality(frame).where("kept").collect()}
+    assert {r.doc_id for r in good.collect()} == ids
+    assert all(r[n] == f"own{r.doc_id}" for r in good.collect() for n in names)
+
+
+def test_judged_keeps_each_row_once(spark):
+    rows = measured(spark.createDataFrame(made(), SCHEMA))
+    assert judged(rows, thresholds(sketches(rows))).count() == rows.count()
