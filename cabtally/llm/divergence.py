@@ -38,8 +38,9 @@ RANKS = 200
 #: Terms and bytes of a shard, about, and cells of terms by sources at a time.
 SHARD_TERMS, SHARD_BYTES, CELLS = 8192, 1 << 20, 1 << 22
 BROADCAST_BYTES = 48 << 20
-#: Memory bounds of a worker: words that are counted by name, and bytes of slots.
-COUNTED_WORDS, SLOT_BYTES = 250_000, 96 << 20
+#: Memory bounds of a worker: words that are counted by name, and bytes of slots, which
+#: hold 32 bits and are emptied before they can overflow.
+COUNTED_WORDS, SLOT_BYTES, SLOT_LIMIT = 500_000, 160 << 20, 1 << 31
 #: Keys of a bucket, on average, that get their slots together.
 BUCKET_KEYS = 3
 
@@ -231,26 +232,32 @@ def recount(texts: DataFrame, slots: dict[str, Slots]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         named: dict[tuple[str, str], Counter] = defaultdict(Counter)
         dense: dict[tuple[str, str], np.ndarray] = {}
+        added = 0
 
         def taken() -> Iterator[pa.RecordBatch]:
+            nonlocal added
             for (lang, source), numbers in dense.items():
                 some = np.flatnonzero(numbers)
                 shard, slot = held.value[lang].shard_of(some)
                 group = [pa.array([name] * len(some), pa.string()) for name in (lang, source)]
-                columns = [group[0], pa.array(shard), group[1], pa.array(slot), pa.array(numbers[some])]
+                columns = [group[0], pa.array(shard), group[1], pa.array(slot), pa.array(numbers[some].astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "shard", "source", "slot", "n"])
             dense.clear()
+            added = 0
 
         def placed() -> Iterator[pa.RecordBatch]:
+            nonlocal added
             for group, words in named.items():
                 own = held.value[group[0]]
-                if group not in dense:
-                    if dense and 8 * (own.size + sum(map(len, dense.values()))) > SLOT_BYTES:
-                        yield from taken()
-                    dense[group] = np.zeros(own.size, np.int64)
                 found = own.find(list(words))
                 n = np.fromiter(words.values(), np.int64, len(words))
-                dense[group][found[found >= 0]] += n[found >= 0]
+                full = group not in dense and 4 * (own.size + sum(map(len, dense.values()))) > SLOT_BYTES
+                if full or added + n.sum() >= SLOT_LIMIT:
+                    yield from taken()
+                if group not in dense:
+                    dense[group] = np.zeros(own.size, np.uint32)
+                dense[group][found[found >= 0]] += n[found >= 0].astype(np.uint32)
+                added += n.sum()
             named.clear()
 
         for batch in batches:

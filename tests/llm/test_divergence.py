@@ -71,6 +71,7 @@ def test_equals_python(spark, options):
 def test_small_memory_bounds_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(module, "COUNTED_WORDS", 50)
     monkeypatch.setattr(module, "SLOT_BYTES", 100)
+    monkeypatch.setattr(module, "SLOT_LIMIT", 60)
     rows = made(7)
     assert found(spark, rows) == plain(rows)
 
