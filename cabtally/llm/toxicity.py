@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, combinations
 
 import numpy as np
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cabtally.llm.common import numbered, stored, table
+from cabtally.llm.common import free_name, stored, table
 
 #: How many times as often as in clean documents a voter has to be found in toxic ones.
 ODDS = 20
@@ -44,20 +44,23 @@ CORRELATED = 0.4
 #: Word beginnings that are features beside whole words, by length.
 BEGINNINGS = (4, 5, 6, 8)
 THRESHOLD = 0.7
-#: Features whose weights a worker keeps; a bound of memory only.
-KEPT_WORDS = 500_000
+#: Words and features that a worker knows about at a time; bounds of memory only.
+KEPT_WORDS, KEPT_FEATURES = 300_000, 800_000
+#: Texts whose posteriors are worked out together.
+TOGETHER = 1000
 #: Steps of fitting the classifier, at most; each is a Spark job.
 STEPS = 150
 
 LEXICON = ("idiot", "moron", "stupid", "scum", "trash", "loser", "pathetic", "worthless", "disgusting", "bastard")
-#: Patterns over lower-case text; each is a voter.
+#: Patterns over lower-case text; each is a voter. Only texts that have one of the parts
+#: before a pattern can match it, which is faster to tell.
 PATTERNS = (
-    r"\b\w+\*{2,}\w*\b",
-    r"\byou(?:'re| are) (?:an? |such |so )?(?:complete |total |utter )?(?:idiot|moron|stupid|loser|trash|scum|pathetic)",
-    r"\bshut up\b",
-    r"\bgo (?:to hell|die|kill)\b",
-    r"\b(?:hate|despise) (?:you|them|those|these)\b",
-    r"!{3,}",
+    (("**",), r"\b\w+\*{2,}\w*\b"),
+    (("you're ", "you are "), r"\byou(?:'re| are) (?:an? |such |so )?(?:complete |total |utter )?(?:idiot|moron|stupid|loser|trash|scum|pathetic)"),
+    (("shut up",), r"\bshut up\b"),
+    (("go to hell", "go die", "go kill"), r"\bgo (?:to hell|die|kill)\b"),
+    (("hate ", "despise "), r"\b(?:hate|despise) (?:you|them|those|these)\b"),
+    (("!!!",), r"!{3,}"),
 )
 
 _TOKEN = re.compile(r"[^\W\d_]+")
@@ -76,20 +79,45 @@ def _words(text: str | None) -> set[str]:
     return set(_TOKEN.findall(text.lower())) if text else set()
 
 
+class Known(dict):
+    """What a function says of words, worked out once for each; a bounded number is kept.
+    ``of_words`` is the union of what it says of several."""
+
+    def __init__(self, of_word: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self._of_word = of_word
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        found = self[word] = self._of_word(word)
+        return found
+
+    def of_words(self, words: Iterable[str]) -> set[int]:
+        return set().union(*map(self.__getitem__, words))
+
+
 def feature_counts(labelled: DataFrame) -> DataFrame:
     """``(feature, toxic, clean)``: in how many of the documents ``(text, toxic)`` of either
-    label a feature is. Counts are added up per batch before they are shuffled."""
+    label a feature is. Counts are added up in the task before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = (Counter(), Counter())
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[toxic].update({f for w in _words(text) for f in _features(w)})
+        counts = (Counter(), Counter())
+
+        def taken() -> pa.RecordBatch:
             names = list(counts[0].keys() | counts[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string())] + [pa.array([counts[k][n] for n in names], pa.int64()) for k in (1, 0)],
-                ["feature", "toxic", "clean"],
-            )
+            columns = [pa.array([counts[k][n] for n in names], pa.int64()) for k in (1, 0)]
+            batch = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["feature", "toxic", "clean"])
+            counts[0].clear(), counts[1].clear()
+            return batch
+
+        known = Known(_features)
+        for batch in batches:
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                counts[toxic].update(known.of_words(_words(text.as_py())))
+                if len(counts[0]) + len(counts[1]) > KEPT_WORDS:
+                    yield taken()
+        yield taken()
 
     return (
         labelled.select("text", "toxic")
@@ -133,13 +161,13 @@ class Voters:
 
     def __init__(self, mined: list[str]):
         self._lexicon = {word: i for i, word in enumerate(LEXICON)}
-        self._patterns = [(len(LEXICON) + i, p) for i, p in enumerate(PATTERNS)]
+        self._patterns = [(len(LEXICON) + i, parts, p) for i, (parts, p) in enumerate(PATTERNS)]
         first = len(LEXICON) + len(PATTERNS)
         self._mined = {f: first + i for i, f in enumerate(mined)}
         self.size = first + len(mined)
 
     def of_text(self, lower: str) -> set[int]:
-        return {i for i, p in self._patterns if re.search(p, lower)}
+        return {i for i, parts, p in self._patterns if any(part in lower for part in parts) and re.search(p, lower)}
 
     def of_word(self, word: str) -> tuple[int, ...]:
         """The lexicon's voter, and the best of the mined ones of the word's family."""
@@ -152,20 +180,12 @@ def votes(documents: DataFrame, voters: Voters) -> DataFrame:
     ``(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, ...]] = {}
+        known = Known(voters.of_word)
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
-                lower = (text or "").lower()
-                hits = voters.of_text(lower)
-                for word in set(_TOKEN.findall(lower)):
-                    found = known.get(word)
-                    if found is None:
-                        if len(known) >= KEPT_WORDS:
-                            known.clear()
-                        found = known[word] = voters.of_word(word)
-                    hits.update(found)
-                rows.append(sorted(hits))
+            for text in batch.column(1):
+                lower = (text.as_py() or "").lower()
+                rows.append(sorted(voters.of_text(lower) | known.of_words(set(_TOKEN.findall(lower)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "hits"])
 
     kind = dict(documents.dtypes)["doc_id"]
@@ -283,34 +303,32 @@ def _hash(feature: str) -> int:
     return xxhash.xxh64_intdigest(feature) >> 1
 
 
-def _judged(documents: DataFrame, voters: Voters, model: LabelModel, feature_of, emit, schema: str) -> DataFrame:
-    """``emit(features, offsets, p)`` of each batch of the ``documents`` ``(text)``: the
-    features ``feature_of`` gives numbers, sorted, where each document's begin, posteriors."""
-    judge = model.judge()
+def _with_voters(voters: Voters, of_word: Callable[[str], Iterable[int]]) -> Known:
+    """What ``of_word`` says of a word, and its voters as negative numbers."""
+    return Known(lambda word: (*(-1 - v for v in voters.of_word(word)), *of_word(word)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
-        for batch in batches:
-            rows, offsets, parts = [], [0], []
-            for text in batch.column(0).to_pylist():
-                lower, own = (text or "").lower(), set()
-                hits = voters.of_text(lower)
-                for word in set(_TOKEN.findall(lower)):
-                    found = known.get(word)
-                    if found is None:
-                        numbers = (feature_of(_hash(f)) for f in _features(word))
-                        if len(known) >= KEPT_WORDS:
-                            known.clear()
-                        found = known[word] = (voters.of_word(word), tuple(n for n in numbers if n is not None))
-                    hits.update(found[0])
-                    own.update(found[1])
-                rows.append(sorted(hits))
-                parts.append(np.sort(np.fromiter(own, np.int64, len(own))))
-                offsets.append(offsets[-1] + len(own))
-            if rows:
-                yield emit(np.concatenate(parts), np.array(offsets), judge(rows))
-
-    return documents.select("text").mapInArrow(run, schema)
+
+def _judged(
+    batches: Iterator[pa.RecordBatch], voters: Voters, model: LabelModel, known: Known
+) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Of the texts of ``batches``, some at a time: for each the numbers of its words that
+    are no voters, sorted, and all their posteriors."""
+    judge = model.judge()
+    hits, parts = [], []
+    for batch in batches:
+        for text in batch.column(0):
+            lower = (text.as_py() or "").lower()
+            own = known.of_words(set(_TOKEN.findall(lower)))
+            own.update(-1 - v for v in voters.of_text(lower))
+            numbers = np.sort(np.fromiter(own, np.int64, len(own)))
+            first = int(np.searchsorted(numbers, 0))
+            hits.append((-1 - numbers[:first]).tolist())
+            parts.append(numbers[first:])
+            if len(hits) >= TOGETHER:
+                yield parts, judge(hits)
+                hits, parts = [], []
+    if hits:
+        yield parts, judge(hits)
 
 
 def _may_tell(number, toxic, base: float, log):
@@ -378,20 +396,40 @@ class Classifier:
     def fit_all(cls, documents: DataFrame, voters: Voters, model: LabelModel, steps: int = STEPS) -> Classifier:
         """From all ``documents`` ``(text)`` and their posteriors."""
 
-        def counts(features, offsets, p):
-            names, place = np.unique(features, return_inverse=True)
-            row = np.repeat(np.arange(len(p)), np.diff(offsets))
-            number, toxic = np.bincount(place, minlength=len(names)), np.bincount(place, p[row], len(names))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.append(names, -1)),
-                    pa.array(np.append(number, len(p))),
-                    pa.array(np.append(toxic, p.sum())),
-                ],
-                ["feature", "number", "toxic"],
-            )
+        def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            place: dict[int, int] = {}
+            number, toxic = np.zeros(1 << 16, np.int64), np.zeros(1 << 16)
+
+            def of_word(word: str) -> list[int]:
+                return [place.setdefault(_hash(f), len(place)) for f in _features(word)]
 
-        found = _judged(documents, voters, model, int, counts, "feature long, number long, toxic double")
+            def taken() -> pa.RecordBatch:
+                n = len(place)
+                names = np.fromiter(place, np.int64, n)
+                some = np.flatnonzero(number[:n])
+                batch = pa.RecordBatch.from_arrays(
+                    [pa.array(names[some]), pa.array(number[some]), pa.array(toxic[some])], ["feature", "number", "toxic"]
+                )
+                number[:], toxic[:] = 0, 0
+                return batch
+
+            known = _with_voters(voters, of_word)
+            for parts, p in _judged(batches, voters, model, known):
+                if len(place) > len(number):
+                    number, toxic = (np.append(x, np.zeros(2 * len(place) - len(x), x.dtype)) for x in (number, toxic))
+                for own, one in zip(parts, p.tolist(), strict=True):
+                    number[own] += 1
+                    toxic[own] += one
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([-1]), pa.array([len(p)]), pa.array([p.sum()])], ["feature", "number", "toxic"]
+                )
+                if len(place) > KEPT_FEATURES:
+                    yield taken()
+                    place.clear()
+                    known.clear()
+            yield taken()
+
+        found = documents.select("text").mapInArrow(counts, "feature long, number long, toxic double")
         found = found.groupBy("feature").agg(F.sum("number").alias("number"), F.sum("toxic").alias("toxic"))
         found = stored(found, "features")
         every = found.where("feature = -1").first()
@@ -402,11 +440,16 @@ class Classifier:
         names = np.sort(good.select("feature").toArrow().column(0).to_numpy())
         numbers = {name: i for i, name in enumerate(names.tolist())}
 
-        def sets(features, offsets, p):
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(features, pa.int32()))
-            return pa.RecordBatch.from_arrays([lists, pa.array(p)], ["features", "p"])
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def of_word(word: str) -> list[int]:
+                return [n for n in (numbers.get(_hash(f)) for f in _features(word)) if n is not None]
+
+            for parts, p in _judged(batches, voters, model, _with_voters(voters, of_word)):
+                offsets = np.cumsum([0, *map(len, parts)])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts), pa.int32()))
+                yield pa.RecordBatch.from_arrays([lists, pa.array(p)], ["features", "p"])
 
-        found = _judged(documents, voters, model, numbers.get, sets, "features array<int>, p double")
+        found = documents.select("text").mapInArrow(sets, "features array<int>, p double")
         found = stored(found.groupBy("features").agg(F.count("*").alias("n"), F.sum("p").alias("p")), "feature-sets")
         size = len(names)
 
@@ -442,33 +485,23 @@ class Classifier:
         curve, bias_curve, _ = summed(curves)
         return cls._descend(names, base, curve, bias_curve, slopes, steps)
 
-    def score(self, documents: DataFrame) -> DataFrame:
-        """``documents`` with ``_score``, from their column ``text``; nothing is moved."""
+    def score(self, documents: DataFrame, name: str) -> DataFrame:
+        """``documents`` with their scores as ``name``, from their column ``text``; nothing is
+        moved. ``name`` has to be free."""
         weights, bias = self.weights, self.bias
-        names = [*documents.columns, "_score"]
+        text = documents.columns.index("text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known: dict[str, tuple[tuple[int, float], ...]] = {}
+            known = Known(lambda word: tuple(h for h in map(_hash, _features(word)) if h in weights))
             for batch in batches:
                 scores = []
-                for text in batch.column(names.index("text")).to_pylist():
-                    found: dict[int, float] = {}
-                    for word in _words(text):
-                        own = known.get(word)
-                        if own is None:
-                            hashes = map(_hash, _features(word))
-                            own = tuple((h, weights[h]) for h in hashes if h in weights)
-                            if len(known) >= KEPT_WORDS:
-                                known.clear()
-                            known[word] = own
-                        if own:
-                            found.update(own)
-                    z = bias + math.fsum(found.values())
+                for own in batch.column(text):
+                    z = bias + math.fsum(weights[h] for h in known.of_words(_words(own.as_py())))
                     scores.append(1 / (1 + math.exp(-min(max(z, -30.0), 30.0))))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
 
-        schema = StructType([*documents.schema.fields, StructField("_score", DoubleType())])
-        return documents.mapInArrow(run, schema)
+        names = [*documents.columns, name]
+        return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField(name, DoubleType())]))
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Classifier:
@@ -508,26 +541,25 @@ def train(documents: DataFrame, labels: DataFrame) -> Classifier:
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(row, doc_id, score)`` of each of the ``documents``.
+    """``(doc_id, score)`` of each of the ``documents``.
 
-    Needs ``doc_id`` and ``text`` of the documents, and ``row`` if there is one that tells
-    rows apart; ``doc_id`` and ``toxic`` of the labels. Null and empty texts get the score
-    of a text without features. Null ids are scored, and have no label. Without any toxic
-    or any clean label the voters are the fixed ones. An empty table gives an empty result.
+    Needs ``doc_id`` and ``text`` of the documents, ``doc_id`` and ``toxic`` of the labels;
+    other columns are not read. Null and empty texts get the score of a text without
+    features. Repeated rows and null ids are scored as any other; a null id has no label.
+    Without any toxic or any clean label the voters are the fixed ones. An empty table gives
+    an empty result.
     """
-    if "row" in documents.columns:
-        rows = documents.select("row", "doc_id", "text")
-    else:
-        rows = numbered(documents.select("doc_id", "text"), "row")
-    classifier = train(rows.select("doc_id", "text"), labels.select("doc_id", "toxic"))
-    return classifier.score(rows).select("row", "doc_id", F.col("_score").alias("score"))
+    rows = documents.select("doc_id", "text")
+    classifier = train(rows, labels.select("doc_id", "toxic"))
+    return classifier.score(rows, "score").select("doc_id", "score")
 
 
 def clean_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The ``documents`` that score below ``threshold``, all their columns. They are read
     several times, in any order."""
     classifier = train(documents.select("doc_id", "text"), labels.select("doc_id", "toxic"))
-    return classifier.score(documents).where(F.col("_score") < threshold).drop("_score")
+    score = free_name(documents, "score")
+    return classifier.score(documents, score).where(F.col(score) < threshold).drop(score)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
