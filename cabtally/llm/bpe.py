@@ -23,6 +23,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
@@ -37,11 +38,13 @@ from pyspark.sql.types import (
 from cabtally.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Encodings that a worker keeps, and pairs of tokens that it knows about.
-KEPT_WORDS = 1_500_000
-KEPT_PAIRS = 1_000_000
+#: Bytes of encodings that a worker keeps, about, and pairs of tokens that it knows about.
+KEPT_BYTES = 96 << 20
+KEPT_PAIRS = 250_000
 #: Words whose encodings are looked up together.
-TOGETHER = 500_000
+TOGETHER = 100_000
+#: Bytes of texts that a task holds the ids of.
+BATCH_BYTES = 4 << 20
 #: Code points of a text that are split into words at once, cut where a word begins.
 PIECE = 1 << 20
 
@@ -84,6 +87,7 @@ class Bpe:
         self._written = {str(i): token for i, token in self.bytes_of.items()}
         self._follows: dict[tuple[bytes, bytes], bool] = {}
         self._known: dict[str, str] = {}
+        self._bytes = 0
 
     def _merge(self, word: bytes) -> list[bytes]:
         """Plain BPE: the pair of the lowest rank merges first, the leftmost of equals."""
@@ -132,7 +136,10 @@ class Bpe:
                 ids.append(names[token])
                 end -= len(token)
             ids.reverse()
-            known[word.decode("utf-8", "surrogatepass")] = ",".join(ids)
+            joined = ",".join(ids)
+            known[word.decode("utf-8", "surrogatepass")] = joined
+            # Two strings and their place in the dictionary.
+            self._bytes += 230 + 2 * len(word) + len(joined)
 
     def _pieces(self, text: str) -> Iterator[tuple[bool, list[str]]]:
         """Lists of words, and added tokens; true marks the latter."""
@@ -175,9 +182,9 @@ class Bpe:
 
     def _learn(self, words: set[str]) -> None:
         missing = words.difference(self._known)
-        if len(self._known) + len(missing) > KEPT_WORDS:
+        if self._bytes > KEPT_BYTES:
             self._known.clear()
-            missing = words
+            self._bytes, missing = 0, words
         self.encode_words(missing)
 
     def encode_batch(self, texts: list[str]) -> list[tuple[int, str, str]]:
@@ -220,14 +227,27 @@ def _with(frame: DataFrame, name: str, kind: DataType) -> StructType:
     return StructType([*frame.schema.fields, StructField(name, kind)])
 
 
+def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, so many at a time that their texts take ``BATCH_BYTES``, or one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + BATCH_BYTES, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``documents`` with ``token_ids``, an array of int, in place of any column of that
     name. A null text has no ids."""
     documents = documents.drop("token_ids")
+    place = documents.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+        for batch in _slices(batches, place):
+            texts = batch.column(place).to_pylist()
             ids = pa.array(bpe(path).ids_of([t or "" for t in texts]), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names)
 
@@ -236,6 +256,25 @@ def encode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
     return documents.mapInArrow(run, schema)
 
 
+def encode_and_decode(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``documents`` without their text, with its ``token_ids`` and ``decoded_sha256``, the
+    digest of the text that these are decoded to, in place of any columns of those names."""
+    documents = documents.drop("token_ids", "decoded_sha256")
+    place = documents.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, place):
+            found = bpe(path).ids_of([t or "" for t in batch.column(place).to_pylist()])
+            digests = [hashlib.sha256(bpe(path).decode(ids.tolist()).encode()).hexdigest() for ids in found]
+            kept = [column for i, column in enumerate(batch.columns) if i != place]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.list_(pa.int32())), pa.array(digests, pa.string())], names)
+
+    rest = documents.drop(text)
+    names = [*rest.columns, "token_ids", "decoded_sha256"]
+    fields = [StructField("token_ids", ArrayType(IntegerType())), StructField("decoded_sha256", StringType())]
+    return documents.mapInArrow(run, StructType([*rest.schema.fields, *fields]))
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids, in place of any column of that
     name; null ids give null."""
@@ -260,7 +299,7 @@ def round_trip(documents: DataFrame, path: str) -> DataFrame:
     kind = dict(documents.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             rows = bpe(path).encode_batch(texts)
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))]

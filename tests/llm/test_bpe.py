@@ -1,9 +1,10 @@
 import hashlib
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from cabtally.llm.bpe import Bpe, decode, encode, op4_bpe_round_trip, round_trip, tokenizer_path
+from cabtally.llm.bpe import Bpe, _slices, decode, encode, encode_and_decode, op4_bpe_round_trip, round_trip, tokenizer_path
 
 ODD = [
     "", "a", " ", "<|endoftext|>", "x<|endoftext|> y<|endoftext|><|endoftext|>z", "<|endoftext", "  lead",
@@ -35,7 +36,7 @@ def test_odd_texts(library):
 def test_very_long_texts_are_cut_between_words(library, monkeypatch):
     monkeypatch.setattr("cabtally.llm.bpe.PIECE", 50)
     monkeypatch.setattr("cabtally.llm.bpe.TOGETHER", 20)
-    monkeypatch.setattr("cabtally.llm.bpe.KEPT_WORDS", 30)
+    monkeypatch.setattr("cabtally.llm.bpe.KEPT_BYTES", 9000)
     bpe = Bpe(tokenizer_path())
     texts = ["one two  three\n\n\n   four's 55 !? " * 40, "x" * 300 + " y", *ODD]
     assert bpe.encode_batch(texts) == [expected(library, t) for t in texts]
@@ -53,3 +54,22 @@ def test_nulls_repeats_and_other_columns(spark, library):
     assert len(got) == 4
     back = decode(encode(frame, tokenizer_path()), tokenizer_path()).collect()
     assert [(r.text or "", r.n_tokens) for r in back] == [(r.decoded, r.n_tokens) for r in back]
+
+
+def test_batches_are_cut_by_bytes_and_lose_no_row(monkeypatch):
+    monkeypatch.setattr("cabtally.llm.bpe.BATCH_BYTES", 10)
+    texts = ["a" * 25, None, "", "bcd", "efg", "hij", "klm", "é" * 7, "x", None]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(10)), "text": pa.array(texts, pa.string())})
+    cut = list(_slices(iter([batch, batch.slice(0, 0)]), 1))
+    assert [t for part in cut for t in part.column(1).to_pylist()] == texts
+    assert all(part.num_rows == 1 or sum(len((t or "").encode()) for t in part.column(1).to_pylist()) <= 10 for part in cut)
+
+
+def test_ids_are_decoded_in_the_same_task(spark, library):
+    rows = [(1, None, "z"), (1, None, "z"), (None, "hi there", "y"), (2, "", None), (3, "long é " * 50_000, "w")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, token_ids string")
+    found = encode_and_decode(frame, tokenizer_path())
+    assert found.columns == ["doc_id", "token_ids", "decoded_sha256"]
+    want = [(i, library.encode(t or "", add_special_tokens=False).ids, expected(library, t)[2]) for i, t, _ in rows]
+    assert sorted(map(str, found.collect())) == sorted(str(row) for row in spark.createDataFrame(want, found.schema).collect())
+    assert encode_and_decode(frame.limit(0), tokenizer_path()).collect() == []
