@@ -1,15 +1,22 @@
 """A training corpus from the documents: stages that each apply one operator.
 
 Toxic documents go, then copies, then near copies; what is left is mixed to the sources'
-target weights, which repeats documents, and encoded. Every stage reads what the one before
-it has written.
+target weights, which repeats documents, and encoded, which is checked by decoding. Every
+stage reads what the one before it has written.
+
+Columns beside those of documents, whatever their names, are kept by all stages but the
+last. Null and empty texts are clean, copies of each other, and near copies of each other,
+so one of them goes on; they have no tokens. Of repeated rows one stays. Null ids and
+sources are values like any other. Texts are taken whole, however long. Empty documents
+give an empty result; without labels the fixed voters decide.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cabtally.llm.bpe import encode, tokenizer_path
+from cabtally.llm.bpe import encode_and_decode, tokenizer_path
 from cabtally.llm.common import stored, table
 from cabtally.llm.exact_dedup import exact_dedup
 from cabtally.llm.mixing import mix
@@ -38,11 +45,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, source, lang, n_tokens, token_ids`` of each row of the mix."""
-    encoded = encode(docs.select("doc_id", "source", "lang", "text"), tokenizer_path())
-    return encoded.selectExpr(
-        "doc_id", "source", "lang", "cast(size(token_ids) AS bigint) AS n_tokens", "token_ids"
-    )
+    """``doc_id, source, lang, n_tokens, token_ids, decoded_sha256`` of each row of the mix;
+    the last is the digest of the text that the ids are decoded to."""
+    encoded = encode_and_decode(docs.select("doc_id", "source", "lang", "text"), tokenizer_path())
+    n_tokens = F.size("token_ids").cast("long").alias("n_tokens")
+    return encoded.select("doc_id", "source", "lang", n_tokens, "token_ids", "decoded_sha256")
 
 
 STAGES = [
