@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabtally.llm.common import numbered, stored, table, without_blanks
+from cabtally.llm.common import free_name, numbered, stored, table, without_blanks
 
 BLOCK_BYTES = 4096
 
@@ -103,18 +103,18 @@ def identities(rows: DataFrame, block_bytes: int = BLOCK_BYTES, hash_bits: int =
         level += 1
 
 
-def exact_groups(documents: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def exact_groups(documents: DataFrame, block_bytes: int = BLOCK_BYTES, row: str | None = None) -> DataFrame:
     """One row per document: ``row, doc_id, keep_id, group_size, kept, text_sha256``.
 
-    ``documents`` needs ``doc_id`` and ``text``; other columns are not read, unless there is
-    a ``row`` that tells the rows apart. Of equal texts the one with the most code points
+    ``documents`` needs ``doc_id`` and ``text``; other columns are not read, but for the one
+    that ``row`` names, if any, as what tells the rows apart. Of equal texts the one with the most code points
     stays, then the smallest ``doc_id``, null last, then any one of repeated rows. A null
     text is empty; empty texts are equal. An empty table gives an empty result.
     """
-    if "row" in documents.columns:
-        rows = documents.select("row", "doc_id", "text")
-    else:
+    if row is None:
         rows = numbered(documents.select("doc_id", "text"), "row")
+    else:
+        rows = documents.select(F.col(row).alias("row"), "doc_id", "text")
     facts = rows.select(
         "row",
         "doc_id",
@@ -141,10 +141,10 @@ def exact_groups(documents: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
 def exact_dedup(documents: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The ``documents`` that stay, all their columns. They are read twice and have to come
     in the same order each time, as those of a file scan do."""
-    rows = numbered(documents, "_row")
-    groups = exact_groups(rows.select(F.col("_row").alias("row"), "doc_id", "text"), block_bytes)
-    kept = groups.where("kept").select(F.col("row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    row = free_name(documents, "row")
+    rows = numbered(documents, row)
+    kept = exact_groups(rows, block_bytes, row).where("kept").select(F.col("row").alias(row))
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cabtally.llm.common import WORD, numbered, stored, table
+from cabtally.llm.common import WORD, free_name, numbered, stored, table
 
 SEED = "mix-1"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -164,12 +164,15 @@ def plan(
     Words are runs of anything but ASCII white space; null texts have none. A null source
     is a source. Null or repeated ``doc_id`` are documents like any other; of repeated ones
     with different sizes the smaller is first. Documents without words are never drawn. A
-    source's words end within one document's size of its target.
+    source's words end within one document's size of its target. A document without an id
+    has its place by its text and row, so that these are spread as well.
     """
-    sized = documents.select("row", "doc_id", "source", words_in(F.col("text")).alias("size"))
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    unnamed = F.concat_ws(" ", F.lit("null"), F.md5(F.coalesce("text", F.lit(""))), F.col("row").cast("string"))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), unnamed)))
+    words = words_in(F.col("text")).alias("size")
+    sized = documents.select("row", "doc_id", "source", words, order.alias("place"))
     sized = stored(
-        sized.withColumn("place", order).withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS)),
+        sized.withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS)),
         "mix-sizes",
     )
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -229,16 +232,15 @@ def mix(documents: DataFrame, **parameters) -> DataFrame:
     """The mixed ``documents``, all their columns, a row for each time one is taken, written
     in shards that are shuffled each. They are read twice and have to come in the same
     order each time, as those of a file scan do."""
-    rows = numbered(documents, "_row")
-    _, draws = plan(rows.select(F.col("_row").alias("row"), "doc_id", "text", "source"), **parameters)
-    draws = draws.select(
-        F.col("row").alias("_row"), F.col("shard").alias("_shard"), F.col("place").alias("_place")
-    )
+    row, shard, place = (free_name(documents, name) for name in ("row", "shard", "place"))
+    rows = numbered(documents, row)
+    _, draws = plan(rows.select(F.col(row).alias("row"), "doc_id", "text", "source"), **parameters)
+    draws = draws.select(F.col("row").alias(row), F.col("shard").alias(shard), F.col("place").alias(place))
     return (
-        rows.join(draws, "_row")
-        .repartition("_shard")
-        .sortWithinPartitions("_shard", "_place", "_row")
-        .drop("_row", "_shard", "_place")
+        rows.join(draws, row)
+        .repartition(shard)
+        .sortWithinPartitions(shard, place, row)
+        .drop(row, shard, place)
     )
 
 
@@ -255,7 +257,7 @@ SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS place
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null ' || md5(coalesce(text, '')))) AS place
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabtally.llm.common import components, numbered, stored, table
+from cabtally.llm.common import components, free_name, numbered, stored, table
 
 SHINGLE = 3
 SEED = 42
@@ -162,19 +162,19 @@ def linked(fps: DataFrame) -> DataFrame:
     return met.mapInArrow(_edges, "a long, b long").distinct()
 
 
-def near_groups(documents: DataFrame) -> DataFrame:
+def near_groups(documents: DataFrame, row: str | None = None) -> DataFrame:
     """One row per document: ``row, doc_id, fingerprint, component_id, stays``.
 
-    Needs ``doc_id`` and ``text``; other columns are not read, unless there is a ``row``
-    that tells the rows apart. Texts without words, null ones too, have fingerprint zero.
+    Needs ``doc_id`` and ``text``; other columns are not read, but for the one that ``row``
+    names, if any, as what tells the rows apart. Texts without words, null ones too, have fingerprint zero.
     ``component_id`` is the smallest ``doc_id`` of the component, null only if all are;
     ``stays`` marks one row of each component, the one with that id. Repeated rows are in
     one component. An empty table gives an empty result.
     """
-    if "row" in documents.columns:
-        rows = documents.select("row", "doc_id", "text")
-    else:
+    if row is None:
         rows = numbered(documents.select("doc_id", "text"), "row")
+    else:
+        rows = documents.select(F.col(row).alias("row"), "doc_id", "text")
     members = stored(fingerprints(rows), "fingerprints")
     distinct = members.groupBy("fp").agg(
         F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("first")
@@ -201,10 +201,10 @@ def near_groups(documents: DataFrame) -> DataFrame:
 def near_dedup(documents: DataFrame) -> DataFrame:
     """The ``documents`` with one of each component left, all their columns. They are read
     twice and have to come in the same order each time, as those of a file scan do."""
-    rows = numbered(documents, "_row")
-    groups = near_groups(rows.select(F.col("_row").alias("row"), "doc_id", "text"))
-    stays = groups.where("stays").select(F.col("row").alias("_row"))
-    return rows.join(stays, "_row", "left_semi").drop("_row")
+    row = free_name(documents, "row")
+    rows = numbered(documents, row)
+    stays = near_groups(rows, row).where("stays").select(F.col("row").alias(row))
+    return rows.join(stays, row, "left_semi").drop(row)
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

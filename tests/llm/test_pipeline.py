@@ -1,5 +1,6 @@
 """The pipeline stage by stage against brute force over the same tables."""
 
+import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -67,9 +68,57 @@ def test_texts_are_encoded(stages):
     for r in stages[5].collect():
         assert r.token_ids == library.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert r.n_tokens == len(r.token_ids)
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
 def test_run_is_the_stages_one_after_the_other(spark, small, stages):
     got = corpus_pipeline.run(spark, small)
     assert got.columns == stages[5].columns
     assert got.exceptAll(stages[5]).isEmpty() and stages[5].exceptAll(got).isEmpty()
+
+
+CLASHING = ["row", "_row", "shard", "_shard", "place", "_place", "score", "_score", "level", "name", "fp", "size", "token_ids"]
+
+
+def odd(spark):
+    """Nulls, empty texts, repeated rows and a very long text, with clashing columns."""
+    rows = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, "you are an idiot", "en", "a", 16)]
+    rows += [(4, "same words here and there", "en", "b", 25)] * 3 + [(5, "word " * 200_000, None, "b", 1_000_000)]
+    rows += [(6, "same\nwords here and there", "de", None, 25), (None, "of no id but with words", "de", "b", 24)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return stored(frame.selectExpr("*", *[f"7 AS {name}" for name in CLASHING]), "odd")
+
+
+def test_stages_take_odd_rows_and_keep_clashing_columns(spark, small):
+    docs = odd(spark)
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stored(stage(spark, docs, small), f"odd-{name}")
+        assert found.dtypes == docs.dtypes
+        assert found.select(*CLASHING).distinct().collect() == [tuple([7] * len(CLASHING))]
+        kept.append(Counter(str(r.doc_id) for r in found.collect()))
+        docs = found
+    assert kept[0] == {"None": 2, "1": 1, "2": 1, "3": 1, "4": 3, "5": 1, "6": 1}
+    assert kept[1] == {"1": 1, "3": 1, "4": 1, "5": 1, "None": 1}
+    assert kept[2] == kept[1]
+    assert set(kept[3]) <= {"3", "4", "5", "None"} and max(kept[3].values()) <= 2
+    last = corpus_pipeline.STAGES[-1][1](spark, odd(spark), small)
+    tokens = {(r.doc_id, r.n_tokens) for r in last.collect()}
+    assert {(1, 0), (2, 0), (None, 0)} <= tokens and len(last.columns) == 6 and last.count() == 10
+
+
+def test_stages_take_empty_tables(spark, small):
+    docs = odd(spark).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, small), f"none-{name}")
+        assert docs.count() == 0
+
+
+def test_documents_without_ids_are_drawn_at_random(spark):
+    from cabtally.llm.mixing import mix
+
+    rows = [(None, "w " * (1 + i % 50), "en", "a", 0) for i in range(2000)]
+    frame = stored(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "unnamed")
+    times = Counter(len(r.text.split()) for r in mix(frame).collect())
+    short, long = (sum(times[n] for n in part) for part in (range(1, 26), range(26, 51)))
+    assert 0.85 < short / long < 1.15
