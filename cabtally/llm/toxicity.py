@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, combinations
+from itertools import chain, combinations, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +48,8 @@ BEGINNINGS = (4, 5, 6, 8)
 THRESHOLD = 0.7
 #: Words and features that a worker knows about at a time; bounds of memory only.
 KEPT_WORDS, KEPT_FEATURES = 300_000, 800_000
-#: Texts whose posteriors are worked out together.
-TOGETHER = 1000
+#: Texts that are looked at together, and their bytes, about.
+TOGETHER, CHUNK_BYTES = 1000, 4 << 20
 #: Steps of fitting the classifier, at most; each is a Spark job.
 STEPS = 150
 
@@ -63,7 +65,9 @@ PATTERNS = (
     (("!!!",), r"!{3,}"),
 )
 
+#: Words are runs of letters. What is beyond ASCII stays in a word at first.
 _TOKEN = re.compile(r"[^\W\d_]+")
+LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -75,26 +79,68 @@ def _features(word: str) -> list[str]:
     return [word] + [f"{word[:n]}-" for n in BEGINNINGS if len(word) > n]
 
 
-def _words(text: str | None) -> set[str]:
-    return set(_TOKEN.findall(text.lower())) if text else set()
+class _Places(dict):
+    """Numbers words in the order they are asked for."""
 
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
 
-class Known(dict):
-    """What a function says of words, worked out once for each; a bounded number is kept.
-    ``of_words`` is the union of what it says of several."""
 
-    def __init__(self, of_word: Callable[[str], tuple[int, ...]]):
-        super().__init__()
+class Lookup:
+    """The numbers that a function gives the words of texts. It is asked once for each word;
+    a bounded number of words is kept."""
+
+    def __init__(self, of_word: Callable[[str], Iterable[int]]):
         self._of_word = of_word
+        self.clear()
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        found = self[word] = self._of_word(word)
-        return found
+    def clear(self) -> None:
+        self._places, self._numbers, self._ends = _Places(), array("q"), array("q", [0])
 
-    def of_words(self, words: Iterable[str]) -> set[int]:
-        return set().union(*map(self.__getitem__, words))
+    def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(row, number)``, each pair once and in order, of lower-case texts."""
+        if len(self._places) > KEPT_WORDS:
+            self.clear()
+        words, sizes = [], []
+        for text in texts:
+            own = text.encode().translate(LETTERS).split()
+            words.extend(map(self._places.__getitem__, own))
+            sizes.append(len(own))
+        for word in islice(self._places, len(self._ends) - 1, None):
+            for token in _TOKEN.findall(word.decode()):
+                self._numbers.extend(self._of_word(token))
+            self._ends.append(len(self._numbers))
+        row, word = _distinct(np.repeat(np.arange(len(texts)), sizes), np.array(words, np.int64))
+        if not len(row) or not self._numbers:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        ends, numbers = np.frombuffer(self._ends, np.int64), np.frombuffer(self._numbers, np.int64)
+        first, lengths = ends[word], ends[word + 1] - ends[word]
+        at = np.arange(lengths.sum()) + np.repeat(first - (np.cumsum(lengths) - lengths), lengths)
+        return _distinct(np.repeat(row, lengths), numbers[at])
+
+
+def _distinct(row: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(row):
+        return row, number
+    least = number.min()
+    span = number.max() - least + 1
+    key = np.sort(row * span + (number - least))
+    key = key[np.append(True, key[1:] != key[:-1])]
+    return key // span, key % span + least
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Rows, so many at a time that their texts are bounded, and the texts in lower case."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            last = min(first + TOGETHER, max(first + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, "right"))))
+            part = batch.slice(first, last - first)
+            yield part, [(t or "").lower() for t in part.column(text).to_pylist()]
+            first = last
 
 
 def feature_counts(labelled: DataFrame) -> DataFrame:
@@ -102,21 +148,22 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
     label a feature is. Counts are added up in the task before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
+        places: dict[str, int] = {}
+        lookup = Lookup(lambda word: [places.setdefault(f, len(places)) for f in _features(word)])
+        counts = np.zeros((2, 0), np.int64)
 
         def taken() -> pa.RecordBatch:
-            names = list(counts[0].keys() | counts[1].keys())
-            columns = [pa.array([counts[k][n] for n in names], pa.int64()) for k in (1, 0)]
-            batch = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["feature", "toxic", "clean"])
-            counts[0].clear(), counts[1].clear()
-            return batch
-
-        known = Known(_features)
-        for batch in batches:
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                counts[toxic].update(known.of_words(_words(text.as_py())))
-                if len(counts[0]) + len(counts[1]) > KEPT_WORDS:
-                    yield taken()
+            names = pa.array(list(places)[: counts.shape[1]], pa.string())
+            return pa.RecordBatch.from_arrays([names, pa.array(counts[1]), pa.array(counts[0])], ["feature", "toxic", "clean"])
+
+        for rows, texts in _chunks(batches):
+            row, feature = lookup.of_texts(texts)
+            counts = np.pad(counts, ((0, 0), (0, len(places) - counts.shape[1])))
+            np.add.at(counts, (rows.column(1).to_numpy()[row], feature), 1)
+            if len(places) > KEPT_FEATURES:
+                yield taken()
+                places.clear(), lookup.clear()
+                counts = np.zeros((2, 0), np.int64)
         yield taken()
 
     return (
@@ -169,6 +216,12 @@ class Voters:
     def of_text(self, lower: str) -> set[int]:
         return {i for i, parts, p in self._patterns if any(part in lower for part in parts) and re.search(p, lower)}
 
+    def of_texts(self, texts: list[str], row: np.ndarray, hit: np.ndarray) -> list[list[int]]:
+        """All voters that fire on each text, sorted: ``hit`` by its words, and patterns."""
+        ends = np.searchsorted(row, np.arange(len(texts) + 1))
+        own = (hit[a:b].tolist() for a, b in pairwise(ends.tolist()))
+        return [sorted({*hits, *self.of_text(text)}) for hits, text in zip(own, texts, strict=True)]
+
     def of_word(self, word: str) -> tuple[int, ...]:
         """The lexicon's voter, and the best of the mined ones of the word's family."""
         mined = [self._mined[f] for f in _features(word) if f in self._mined]
@@ -180,13 +233,10 @@ def votes(documents: DataFrame, voters: Voters) -> DataFrame:
     ``(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(voters.of_word)
-        for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                lower = (text.as_py() or "").lower()
-                rows.append(sorted(voters.of_text(lower) | known.of_words(set(_TOKEN.findall(lower)))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "hits"])
+        lookup = Lookup(voters.of_word)
+        for rows, texts in _chunks(batches, 1):
+            hits = voters.of_texts(texts, *lookup.of_texts(texts))
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(hits, pa.list_(pa.int32()))], ["doc_id", "hits"])
 
     kind = dict(documents.dtypes)["doc_id"]
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, hits array<int>")
@@ -303,32 +353,21 @@ def _hash(feature: str) -> int:
     return xxhash.xxh64_intdigest(feature) >> 1
 
 
-def _with_voters(voters: Voters, of_word: Callable[[str], Iterable[int]]) -> Known:
+def _with_voters(voters: Voters, of_word: Callable[[str], Iterable[int]]) -> Lookup:
     """What ``of_word`` says of a word, and its voters as negative numbers."""
-    return Known(lambda word: (*(-1 - v for v in voters.of_word(word)), *of_word(word)))
+    return Lookup(lambda word: (*(-1 - v for v in voters.of_word(word)), *of_word(word)))
 
 
 def _judged(
-    batches: Iterator[pa.RecordBatch], voters: Voters, model: LabelModel, known: Known
-) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Of the texts of ``batches``, some at a time: for each the numbers of its words that
-    are no voters, sorted, and all their posteriors."""
+    batches: Iterator[pa.RecordBatch], voters: Voters, model: LabelModel, lookup: Lookup
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(row, number, p)`` of the texts of ``batches``, some at a time: the numbers of each
+    row's words that are no voters, in order, and all rows' posteriors."""
     judge = model.judge()
-    hits, parts = [], []
-    for batch in batches:
-        for text in batch.column(0):
-            lower = (text.as_py() or "").lower()
-            own = known.of_words(set(_TOKEN.findall(lower)))
-            own.update(-1 - v for v in voters.of_text(lower))
-            numbers = np.sort(np.fromiter(own, np.int64, len(own)))
-            first = int(np.searchsorted(numbers, 0))
-            hits.append((-1 - numbers[:first]).tolist())
-            parts.append(numbers[first:])
-            if len(hits) >= TOGETHER:
-                yield parts, judge(hits)
-                hits, parts = [], []
-    if hits:
-        yield parts, judge(hits)
+    for _, texts in _chunks(batches):
+        row, number = lookup.of_texts(texts)
+        fired = number < 0
+        yield row[~fired], number[~fired], judge(voters.of_texts(texts, row[fired], -1 - number[fired]))
 
 
 def _may_tell(number, toxic, base: float, log):
@@ -397,37 +436,24 @@ class Classifier:
         """From all ``documents`` ``(text)`` and their posteriors."""
 
         def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            place: dict[int, int] = {}
-            number, toxic = np.zeros(1 << 16, np.int64), np.zeros(1 << 16)
-
-            def of_word(word: str) -> list[int]:
-                return [place.setdefault(_hash(f), len(place)) for f in _features(word)]
-
-            def taken() -> pa.RecordBatch:
-                n = len(place)
-                names = np.fromiter(place, np.int64, n)
-                some = np.flatnonzero(number[:n])
-                batch = pa.RecordBatch.from_arrays(
-                    [pa.array(names[some]), pa.array(number[some]), pa.array(toxic[some])], ["feature", "number", "toxic"]
-                )
-                number[:], toxic[:] = 0, 0
-                return batch
-
-            known = _with_voters(voters, of_word)
-            for parts, p in _judged(batches, voters, model, known):
-                if len(place) > len(number):
-                    number, toxic = (np.append(x, np.zeros(2 * len(place) - len(x), x.dtype)) for x in (number, toxic))
-                for own, one in zip(parts, p.tolist(), strict=True):
-                    number[own] += 1
-                    toxic[own] += one
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([-1]), pa.array([len(p)]), pa.array([p.sum()])], ["feature", "number", "toxic"]
-                )
-                if len(place) > KEPT_FEATURES:
-                    yield taken()
-                    place.clear()
-                    known.clear()
-            yield taken()
+            places: dict[int, int] = {}
+            lookup = _with_voters(voters, lambda word: [places.setdefault(_hash(f), len(places)) for f in _features(word)])
+            number, toxic = np.zeros(0, np.int64), np.zeros(0)
+
+            def rows(names, number, toxic) -> pa.RecordBatch:
+                columns = [pa.array(names, pa.int64()), pa.array(number, pa.int64()), pa.array(toxic, pa.float64())]
+                return pa.RecordBatch.from_arrays(columns, ["feature", "number", "toxic"])
+
+            for row, place, p in _judged(batches, voters, model, lookup):
+                number, toxic = (np.pad(x, (0, len(places) - len(x))) for x in (number, toxic))
+                np.add.at(number, place, 1)
+                np.add.at(toxic, place, p[row])
+                yield rows([-1], [len(p)], [p.sum()])
+                if len(places) > KEPT_FEATURES:
+                    yield rows(list(places), number, toxic)
+                    places.clear(), lookup.clear()
+                    number, toxic = np.zeros(0, np.int64), np.zeros(0)
+            yield rows(list(places), number, toxic)
 
         found = documents.select("text").mapInArrow(counts, "feature long, number long, toxic double")
         found = found.groupBy("feature").agg(F.sum("number").alias("number"), F.sum("toxic").alias("toxic"))
@@ -440,13 +466,13 @@ class Classifier:
         names = np.sort(good.select("feature").toArrow().column(0).to_numpy())
         numbers = {name: i for i, name in enumerate(names.tolist())}
 
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def of_word(word: str) -> list[int]:
-                return [n for n in (numbers.get(_hash(f)) for f in _features(word)) if n is not None]
+        def of_word(word: str) -> list[int]:
+            return [n for n in (numbers.get(_hash(f)) for f in _features(word)) if n is not None]
 
-            for parts, p in _judged(batches, voters, model, _with_voters(voters, of_word)):
-                offsets = np.cumsum([0, *map(len, parts)])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts), pa.int32()))
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row, feature, p in _judged(batches, voters, model, _with_voters(voters, of_word)):
+                offsets = np.searchsorted(row, np.arange(len(p) + 1))
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(feature, pa.int32()))
                 yield pa.RecordBatch.from_arrays([lists, pa.array(p)], ["features", "p"])
 
         found = documents.select("text").mapInArrow(sets, "features array<int>, p double")
@@ -488,17 +514,20 @@ class Classifier:
     def score(self, documents: DataFrame, name: str) -> DataFrame:
         """``documents`` with their scores as ``name``, from their column ``text``; nothing is
         moved. ``name`` has to be free."""
-        weights, bias = self.weights, self.bias
+        bias, place = self.bias, {feature: i for i, feature in enumerate(self.weights)}
+        weights = np.fromiter(self.weights.values(), float, len(place))
         text = documents.columns.index("text")
 
+        def of_word(word: str) -> list[int]:
+            return [place[h] for h in map(_hash, _features(word)) if h in place]
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = Known(lambda word: tuple(h for h in map(_hash, _features(word)) if h in weights))
-            for batch in batches:
-                scores = []
-                for own in batch.column(text):
-                    z = bias + math.fsum(weights[h] for h in known.of_words(_words(own.as_py())))
-                    scores.append(1 / (1 + math.exp(-min(max(z, -30.0), 30.0))))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
+            lookup = Lookup(of_word)
+            for rows, texts in _chunks(batches, text):
+                row, feature = lookup.of_texts(texts)
+                z = bias + np.bincount(row, weights[feature], len(texts))
+                scores = 1 / (1 + np.exp(-np.clip(z, -30.0, 30.0)))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(scores, pa.float64())], names)
 
         names = [*documents.columns, name]
         return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField(name, DoubleType())]))
