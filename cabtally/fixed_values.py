@@ -54,3 +54,4 @@ END_MARKER = "end_of_stream"
 PARTITION_KEY = 1
 PREVIEW_ROWS = 20
 LANDING_BATCH = 1_000_000  # messages
+ID_NAMESPACE = "5d1f2f0c-6a0e-5c3b-9a43-2f6c1f1d7e10"  # of trip ids

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cabtally.fixed_values import DISTANCE_CLASSES, DURATION_CLASSES, LAST_CLASS
+from cabtally.fixed_values import DISTANCE_CLASSES, DURATION_CLASSES, ID_NAMESPACE, LAST_CLASS
 
 
 def _class_of(value: Column, upper_bounds: dict[str, int]) -> Column:
@@ -50,3 +50,20 @@ def row_id() -> Column:
     from one execution to the next.
     """
     return F.expr("uuid()")
+
+
+def content_id(*parts: Column) -> Column:
+    """A name-based UUID (version 5) of the text of ``parts``, the same in each run. Nulls
+    and the bounds of parts count."""
+    named = [F.coalesce(F.concat(F.length(p.cast("string")).cast("string"), F.lit(":"), p.cast("string")), F.lit("-")) for p in parts]
+    name = F.concat(F.unhex(F.lit(ID_NAMESPACE.replace("-", ""))), F.concat_ws("|", *named).cast("binary"))
+    digest = F.sha1(name)
+    variant = F.substring(F.lit("89ab89ab89ab89ab"), F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") + 1, F.lit(1))
+    return F.concat_ws(
+        "-",
+        F.substring(digest, 1, 8),
+        F.substring(digest, 9, 4),
+        F.concat(F.lit("5"), F.substring(digest, 14, 3)),
+        F.concat(variant, F.substring(digest, 18, 3)),
+        F.substring(digest, 21, 12),
+    )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabtally.fixed_values import PREVIEW_ROWS
-from cabtally.functions.trips import row_id, trip_minutes
+from cabtally.functions.trips import content_id, row_id, trip_minutes
 
 
 def with_duration(trips: DataFrame) -> DataFrame:
@@ -24,6 +24,20 @@ def trip_store(trips: DataFrame) -> DataFrame:
     return with_duration(trips).withColumn("id", row_id())
 
 
+def identified(trips: DataFrame, *position: Column) -> DataFrame:
+    """Trips with an ``id`` from what they hold, ``position`` (for example their file), and a
+    number among equal trips there: the same trips have the same ids in each run.
+
+    Equal trips are counted, not gathered: they are one row until they get their numbers.
+    """
+    places = {f"_position_{i}": column for i, column in enumerate(position)}
+    rows = trips.withColumns(places) if places else trips
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
+    numbered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    named = content_id(*[F.col(name) for name in [*rows.columns, "_copy"]]).alias("id")
+    return numbered.select(*trips.columns, named)
+
+
 def id_audit(store: DataFrame) -> DataFrame:
     """(rows, distinct_ids, id_length) of a trip store.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cabtally.fixed_values import PAYMENT_TYPES
+from cabtally.fixed_values import ID_NAMESPACE, PAYMENT_TYPES
 
 TRIPS = """
 trips AS (
@@ -125,6 +125,32 @@ UNION ALL SELECT 'merged', all_days FROM counts
 UNION ALL SELECT 'dated', all_days FROM counts
 UNION ALL SELECT 'published', all_days FROM counts"""
 
+DURATION = "(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60 AS trip_duration"
+_PARTS = ["trip_id", "vendorid", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "total_amount", "copy"]
+_NAME = " || '|' || ".join(
+    f"coalesce(length(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR), '-')" for p in _PARTS
+)
+TRIP_IDS = f"""WITH {TRIPS}, copies AS (
+  SELECT *, unnest(CASE WHEN trip_id % 20 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM trips),
+named AS (SELECT trip_id, sha1(unhex('{ID_NAMESPACE.replace("-", "")}') || encode({_NAME})) AS h FROM copies)
+SELECT trip_id, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-'
+       || substr('89ab', CAST('0x' || h[17:17] AS INTEGER) % 4 + 1, 1) || h[18:20] || '-' || h[21:32] AS id
+FROM named"""
+
+TRIP_STORE_UPSERT = f"""WITH {TRIPS}
+SELECT trip_id, passenger_count,
+       CAST(CASE WHEN trip_id % 10 = 3 THEN total_amount + trip_id // 10 % 3 + 1 ELSE total_amount END AS DECIMAL(18,2))
+         AS total_amount, {DURATION} FROM trips"""
+
+MERGE_ACTIONS = f"""WITH {TRIPS}
+SELECT trip_id, passenger_count,
+       CAST(CASE WHEN trip_id % 5 = 0 AND trip_id % 20 <> 15 AND trip_id % 100 < 60 THEN total_amount + trip_id % 100
+                 ELSE total_amount END AS DECIMAL(18,2)) AS total_amount, {DURATION}
+FROM trips WHERE trip_id % 100 <> 0
+UNION ALL
+SELECT -1 - trip_id, passenger_count, CAST(trip_id % 100 AS DECIMAL(18,2)), NULL
+FROM trips WHERE trip_id % 20 = 15 AND trip_id % 100 <> 35"""
+
 ORACLE: dict[str, str] = {
     "scan_csv": f"WITH {TRIPS} SELECT trip_id, passenger_count, total_amount FROM trips",
     "passenger_merge": PASSENGERS,
@@ -164,6 +190,9 @@ FROM minutes WHERE m IS NOT NULL GROUP BY 1""",
     "stream_peak_hour": PICKUP_HOUR,
     "stream_statistics": STREAM_STATISTICS,
     "stream_batches": STREAM_STATISTICS,
+    "trip_ids": TRIP_IDS,
+    "trip_store_upsert": TRIP_STORE_UPSERT,
+    "merge_actions": MERGE_ACTIONS,
     "batch_statistics": STREAM_STATISTICS.replace(
         "FROM trips WHERE tpep_dropoff", f"FROM trips WHERE {AFTER_START} AND tpep_dropoff"
     ),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cabtally.operators import geo, reports
 from cabtally.operators.statistics import (
@@ -33,6 +34,7 @@ from cabtally.plans.fixtures import (
 )
 from cabtally.plans.jobs import stages_of, update_from_files, update_trip_store
 from cabtally.sources.files import read_trips
+from cabtally.sources.keyed import KeyedTable, delete, insert, update
 from cabtally.sources.records import decode_trips, encode_json
 from cabtally.sources.storage import scratch_folder
 from cabtally.sources.streams import open_stream, publish
@@ -50,6 +52,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Files of messages that make as many micro-batches.
 STREAM_FILES = 4
+#: Fields that trips have ids of, and those of the table by trip.
+ID_FIELDS = ["trip_id", "vendorid", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "total_amount"]
+TRIP_TABLE = {"trip_id": "bigint", "passenger_count": "int", "total_amount": "decimal(18,2)", "trip_duration": "double"}
 STREAMED = [PASSENGERS, PAYMENT_TYPE, REVENUE_PER_DAY, PICKUP_HOUR]
 
 
@@ -108,6 +113,53 @@ def trip_id_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.id_audit(spark.read.parquet(f"{folder}/store"))
 
 
+def trip_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids from what trips hold, of which every twentieth is there twice."""
+    return reports.identified(with_copies(trips(spark, sf_dir)).select(*ID_FIELDS)).select("trip_id", "id")
+
+
+def _trip_table(spark: SparkSession, sf_dir: str, folder: str) -> KeyedTable:
+    """All trips with their duration, in a table by trip."""
+    rows = reports.with_duration(trips(spark, sf_dir)).select(*TRIP_TABLE)
+    schema = ", ".join(f"{name} {kind}" for name, kind in TRIP_TABLE.items())
+    table = KeyedTable(spark, folder, schema, ["trip_id"], buckets=16)
+    table.upsert(rows, "load")
+    return table
+
+
+def trip_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the stored trips changes, in three batches of which the second comes twice."""
+    table = _trip_table(spark, sf_dir, f"{scratch_folder(spark, 'keyed')}/trips")
+    rows = reports.with_duration(trips(spark, sf_dir)).select(*TRIP_TABLE)
+    for batch, part in enumerate((0, 1, 1, 2)):
+        changed = rows.where(F.col("trip_id") % 10 == 3).where(F.floor(F.col("trip_id") / 10) % 3 == part)
+        more = F.col("total_amount") + F.lit(part + 1).cast("int")
+        table.upsert(changed.withColumn("total_amount", more), "changes", part)
+        if batch == 1:
+            table.compact(most=1)
+    return table.read()
+
+
+def merge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of a fifth of the trips: some go, some take another amount, new ones come."""
+    table = _trip_table(spark, sf_dir, f"{scratch_folder(spark, 'merged')}/trips")
+    number = F.col("trip_id")
+    changes = trips(spark, sf_dir).where(number % 5 == 0).select(
+        F.when(number % 20 == 15, -1 - number).otherwise(number).alias("trip_id"),
+        "passenger_count",
+        (number % 100).cast("int").alias("fee"),
+    )
+    table.merge(
+        changes,
+        [
+            delete(F.expr("s.fee = 0")),
+            update({"total_amount": "t.total_amount + s.fee", "passenger_count": "s.passenger_count"}, F.expr("s.fee < 60")),
+            insert({"passenger_count": "s.passenger_count", "total_amount": "s.fee"}, F.expr("s.fee <> 35")),
+        ],
+    )
+    return table.read()
+
+
 def batch_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job over CSV files that arrive in two parts; its third run finds no file."""
     folder = scratch_folder(spark, "batch")
@@ -218,6 +270,9 @@ QUERIES: dict[str, Query] = {
     "trip_duration": trip_duration,
     "trip_id_audit": trip_id_audit,
     "trip_duration_class": totals(DURATION),
+    "trip_ids": trip_ids,
+    "trip_store_upsert": trip_store_upsert,
+    "merge_actions": merge_actions,
     "batch_statistics": batch_statistics,
     "heat_points_pickup": heat_points("pulocationid"),
     "heat_points_dropoff": heat_points("dolocationid"),
