@@ -38,11 +38,16 @@ def money(amount: Column) -> Column:
     """Exact currency value, so sums do not depend on the order of rows.
 
     An amount that is no number, or has more than 26 digits before the point, becomes null
-    and adds nothing.
+    and adds nothing; :func:`unusable` tells which do, so that jobs can count them.
     """
     return amount.try_cast("decimal(28,2)")
 
 
+def unusable(amount: Column) -> Column:
+    """Whether there is an amount that :func:`money` can make nothing of."""
+    return amount.isNotNull() & money(amount).isNull()
+
+
 def row_id() -> Column:
     """A random UUID per row.
 

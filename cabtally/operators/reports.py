@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cabtally.fixed_values import PREVIEW_ROWS
@@ -61,6 +61,27 @@ def preview(trips: DataFrame, order: str, rows: int = PREVIEW_ROWS) -> DataFrame
     return trips.orderBy(order).limit(rows)
 
 
+class StageCounts:
+    """Counts that a job's own run makes as rows pass its stages; nothing is read twice."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def at(self, stage: str, frame: DataFrame, **conditions: Column) -> DataFrame:
+        """``frame``, whose rows count as ``stage``, and those that meet a condition as its name."""
+        self._seen[stage] = Observation()
+        more = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
+        return frame.observe(self._seen[stage], F.count(F.lit(1)).alias("rows"), *more)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """``(stage, rows)``: a handful of numbers. Waits for the run, which has to be a write
+        or another action on the frames themselves."""
+        found = []
+        for stage, seen in self._seen.items():
+            found += [(stage if name == "rows" else name, count) for name, count in seen.get.items()]
+        return spark.createDataFrame(found, "stage string, rows bigint")
+
+
 def stage_row_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """(stage, rows) of the named stages of a job."""
     counts = [

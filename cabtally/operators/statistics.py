@@ -19,6 +19,8 @@ from cabtally.functions.trips import (
 from cabtally.operators.merge import merge_totals
 
 COUNT = {"count": "bigint"}
+#: The column of :func:`combine` that names a row's statistic.
+SET = "_statistic"
 #: As wide as a sum of amounts can be.
 REVENUE = {"total_amount": "decimal(38,2)"}
 
@@ -80,7 +82,7 @@ class Statistic:
 
     def from_combined(self, combined: DataFrame) -> DataFrame:
         """The (keys, measure) rows of this statistic in the result of :func:`combine`."""
-        return combined.select(
+        return combined.filter(F.col(SET) == self.name).select(
             *[F.col(f"`{self.name}.{key}`").alias(key) for key in self.keys], self.measure
         ).na.drop(subset=list(self.keys))
 
@@ -94,19 +96,32 @@ class Statistic:
 
 
 def combine(trips: DataFrame, statistics: Iterable[Statistic], batch: bool = False) -> DataFrame:
-    """One pass for several statistics: trips summed up by all their keys together.
+    """One pass for several statistics: trips summed up by the keys of each, side by side.
 
-    The row count is bounded by the combinations of small code sets and days, however
-    many trips there are. ``Statistic.from_combined`` takes each statistic out of it; a
-    trip that does not count for a statistic has null keys there.
+    Grouping sets, one for each statistic, so the rows that are shuffled and kept follow the
+    sum of the numbers of keys, not their product, also where a code has very many values.
+    ``Statistic.from_combined`` takes each statistic out of it; a trip that does not count
+    for a statistic has null keys there.
     """
+    statistics = list(statistics)
     keys: list[Column] = []
     sums: dict[str, Column] = {}
     for statistic in statistics:
         only_if = statistic.batch_filter() if batch and statistic.batch_filter else None
         keys += statistic._key_columns(f"{statistic.name}.", only_if)
-        sums[statistic.measure] = F.sum(statistic.value()).alias(statistic.measure)
-    return trips.groupBy(*keys).agg(*sums.values())
+        sums[statistic.measure] = statistic.value().alias(f"_{statistic.measure}")
+    rows = trips.select(*keys, *sums.values())
+    own = [[F.col(f"`{s.name}.{key}`") for key in s.keys] for s in statistics]
+    grouped = rows.groupingSets(own, *[column for columns in own for column in columns]).agg(
+        F.grouping_id().alias(SET), *[F.sum(f"_{name}").alias(name) for name in sums]
+    )
+    # A bit is set for each key that a set leaves out, the first key's is the highest.
+    total, at, names = sum(map(len, own)), 0, []
+    for statistic, columns in zip(statistics, own, strict=True):
+        bits = sum(1 << (total - 1 - i) for i in range(total) if not at <= i < at + len(columns))
+        names += [F.lit(bits).cast("long"), F.lit(statistic.name)]
+        at += len(columns)
+    return grouped.withColumn(SET, F.create_map(*names)[F.col(SET).cast("long")])
 
 
 def fields_of(statistics: Iterable[Statistic], fields: Mapping[str, str]) -> dict[str, str]:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from cabtally.fixed_values import TRIP_FIELDS
+from cabtally.functions.trips import unusable
 from cabtally.operators import geo, reports
 from cabtally.operators.statistics import REVENUE_PER_DAY, Statistic, fields_of, with_date
 from cabtally.sources.files import layout_schema, layouts, read_csv, read_trips, read_zones
@@ -154,6 +155,18 @@ def revenue_stages(trips: DataFrame, tables: str) -> DataFrame:
     return stages_of(REVENUE_PER_DAY.totals(trips, batch=True), stored)
 
 
+def observed_revenue(trips: DataFrame, path: str) -> DataFrame:
+    """Write the revenue per day to ``path``; ``(stage, rows)`` as they were counted by that."""
+    counts = reports.StageCounts()
+    dropoff, amount = F.col("tpep_dropoff_datetime"), F.col("total_amount")
+    rows = counts.at("read", trips, unusable_amounts=unusable(amount), missing_amounts=amount.isNull())
+    rows = counts.at("with_day", rows.filter(dropoff.isNotNull()))
+    rows = counts.at("counted", rows.filter(REVENUE_PER_DAY.batch_filter()))
+    totals = counts.at("days", REVENUE_PER_DAY.totals(rows))
+    counts.at("published", REVENUE_PER_DAY.present(totals)).write.parquet(path)
+    return counts.report(trips.sparkSession)
+
+
 def stages_of(new: DataFrame, stored: DataFrame) -> DataFrame:
     both = REVENUE_PER_DAY.add(new, stored)
     return reports.stage_row_counts(

@@ -125,6 +125,15 @@ UNION ALL SELECT 'merged', all_days FROM counts
 UNION ALL SELECT 'dated', all_days FROM counts
 UNION ALL SELECT 'published', all_days FROM counts"""
 
+STAGE_METRICS = f"""WITH {TRIPS}, c AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE total_amount IS NULL) AS missing,
+         count(tpep_dropoff_datetime) AS with_day,
+         count(*) FILTER (WHERE tpep_dropoff_datetime IS NOT NULL AND {AFTER_START}) AS counted,
+         count(DISTINCT CASE WHEN {AFTER_START} THEN CAST(tpep_dropoff_datetime AS DATE) END) AS days FROM trips)
+SELECT 'read' AS stage, n AS "rows" FROM c UNION ALL SELECT 'unusable_amounts', 0 FROM c
+UNION ALL SELECT 'missing_amounts', missing FROM c UNION ALL SELECT 'with_day', with_day FROM c
+UNION ALL SELECT 'counted', counted FROM c UNION ALL SELECT 'days', days FROM c UNION ALL SELECT 'published', days FROM c"""
+
 DURATION = "(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60 AS trip_duration"
 _PARTS = ["trip_id", "vendorid", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "total_amount", "copy"]
 _NAME = " || '|' || ".join(
@@ -184,6 +193,10 @@ FROM minutes WHERE m IS NOT NULL GROUP BY 1""",
     "publish_json": f"WITH {TRIPS} SELECT trip_id, total_amount FROM trips",
     "land_csv_dedup": ALL_TRIPS,
     "stream_landing": ALL_TRIPS,
+    "stream_landing_dedup": ALL_TRIPS,
+    "state_audit": f"""WITH {TRIPS}
+SELECT passenger_count AS passenger_number, count(*) AS "count", true AS agrees
+FROM trips WHERE passenger_count IS NOT NULL GROUP BY 1""",
     "stream_passenger": PASSENGERS,
     "stream_payment": PAYMENT,
     "stream_total_amount": _revenue_per_day() + DAY_COLUMNS,
@@ -203,4 +216,5 @@ FROM trips WHERE passenger_count IS NOT NULL GROUP BY 1""",
     + 'SELECT "year", "month", "day", total_amount FROM days ORDER BY 1, 2, 3',
     "preview_trips": f"WITH {TRIPS} SELECT * FROM trips ORDER BY trip_id LIMIT 20",
     "stage_row_counts": STAGE_ROW_COUNTS,
+    "stage_metrics": STAGE_METRICS,
 }

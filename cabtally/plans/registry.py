@@ -32,20 +32,21 @@ from cabtally.plans.fixtures import (
     with_end_markers,
     zones,
 )
-from cabtally.plans.jobs import stages_of, update_from_files, update_trip_store
+from cabtally.plans.jobs import observed_revenue, stages_of, update_from_files, update_trip_store
 from cabtally.sources.files import read_trips
 from cabtally.sources.keyed import KeyedTable, delete, insert, update
 from cabtally.sources.records import decode_trips, encode_json
 from cabtally.sources.storage import scratch_folder
 from cabtally.sources.streams import open_stream, publish
 from cabtally.streaming.landing import land_batch, land_stream
-from cabtally.streaming.queries import finish
+from cabtally.streaming.queries import finish, state_of
 from cabtally.streaming.statistics import (
     add_to_tables,
     combined_report,
     latest,
     merge_stream,
     running_totals_stream,
+    state_value,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,6 +243,34 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_trips(spark, f"{folder}/landed", FIELDS)
 
 
+def state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state that the running totals have after a restart, read from the state store, and
+    whether the table has the same rows."""
+    folder = scratch_folder(spark, "audit")
+    for part in ("stored", "new"):
+        encode_json(trips(spark, sf_dir, part)).write.text(f"{folder}/messages/{part}")
+        stream = open_stream(spark, "text", f"{folder}/messages")
+        rows = decode_trips(stream, fields_of([PASSENGERS], FIELDS))
+        finish(running_totals_stream(rows, PASSENGERS, folder, f"{folder}/checkpoint"))
+    state = state_of(spark, f"{folder}/checkpoint")
+    kept = state.select(F.col("key.passenger_number"), state_value(state).alias("count"))
+    table = latest(spark, folder, PASSENGERS).select("passenger_number", F.col("count").alias("shown"))
+    both = kept.join(table, "passenger_number", "full")
+    return both.select("passenger_number", "count", F.col("count").eqNullSafe(F.col("shown")).alias("agrees"))
+
+
+def stream_landing_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies in other micro-batches than their originals are removed as well."""
+    folder = scratch_folder(spark, "landing")
+    for part in ("first", "second"):
+        rows = trips(spark, sf_dir)
+        rows = rows if part == "first" else rows.where(F.col("trip_id") % 3 == 0)
+        with_end_markers(encode_json(rows)).coalesce(2).write.text(f"{folder}/messages/{part}")
+    stream = open_stream(spark, "text", f"{folder}/messages", options={"maxFilesPerTrigger": "1"})
+    finish(land_stream(stream, f"{folder}/landed", f"{folder}/checkpoint", FIELDS, across="30 days", partitions=8))
+    return read_trips(spark, f"{folder}/landed", FIELDS)
+
+
 # Reports
 
 
@@ -259,6 +288,11 @@ def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages_of(new, stored)
 
 
+def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that writing the revenue per day makes on its way: one read of the trips."""
+    return observed_revenue(trips(spark, sf_dir), f"{scratch_folder(spark, 'observed')}/revenue")
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
     "passenger_merge": merged(PASSENGERS),
@@ -281,6 +315,8 @@ QUERIES: dict[str, Query] = {
     "publish_json": publish_json,
     "land_csv_dedup": land_csv_dedup,
     "stream_landing": stream_landing,
+    "stream_landing_dedup": stream_landing_dedup,
+    "state_audit": state_audit,
     "stream_passenger": streamed(PASSENGERS),
     "stream_payment": streamed(PAYMENT_TYPE),
     "stream_total_amount": streamed(REVENUE_PER_DAY),
@@ -291,4 +327,5 @@ QUERIES: dict[str, Query] = {
     "report_total_amount": report_total_amount,
     "preview_trips": preview_trips,
     "stage_row_counts": stage_row_counts,
+    "stage_metrics": stage_metrics,
 }

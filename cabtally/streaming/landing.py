@@ -16,6 +16,9 @@ from cabtally.sources.storage import Storage
 from cabtally.streaming.queries import start
 
 
+ARRIVED = "_arrived"
+
+
 def land_batch(
     messages: DataFrame,
     folder: str,
@@ -30,14 +33,18 @@ def land_batch(
     ``folder/_malformed/batch``; what did decode of them is landed. What a message has
     besides the fields is landed too, as JSON in the column ``rest``.
     """
+    decoded = decode_json(messages, fields, keep_malformed=True, keep_rest=True)
+    return _land(decoded, folder, batch, fields)
+
+
+def _land(decoded: DataFrame, folder: str, batch: str, fields: Mapping[str, str]) -> bool:
     folder = folder.rstrip("/")
-    storage = Storage(messages.sparkSession, folder)
+    storage = Storage(decoded.sparkSession, folder)
     target = f"{folder}/{batch}"
     if storage.exists(target):
         return False
 
     seen = Observation()
-    decoded = decode_json(messages, fields, keep_malformed=True, keep_rest=True)
     counted = decoded.observe(seen, F.count(F.col(MALFORMED)).alias("malformed"))
     decodes = reduce(or_, [F.col(name).isNotNull() for name in [*fields, REST]])
     records = counted.filter(F.col(MALFORMED).isNull() | decodes).select(*fields, REST)
@@ -55,11 +62,31 @@ def land_stream(
     folder: str,
     checkpoint: str,
     fields: Mapping[str, str] = TRIP_FIELDS,
-    **options: str | None,
+    across: str | None = None,
+    **options: str | int | None,
 ) -> StreamingQuery:
-    """Land each micro-batch on its own; copies are removed within a micro-batch."""
+    """Land each micro-batch on its own; copies are removed within a micro-batch.
+
+    With ``across``, a duration such as ``2 days``, copies that arrive up to that long after
+    the first one are removed too, whichever micro-batches they are in. Spark's state then
+    holds the records of that time, by their hash spread over ``partitions``.
+    """
 
     def land(rows: DataFrame, batch_id: int, query_id: str) -> None:
         land_batch(rows, folder, f"{query_id}/batch-{batch_id:010d}", fields)
 
-    return start(messages, land, checkpoint, **options)
+    if across is None:
+        return start(messages, land, checkpoint, **options)
+
+    def land_new(rows: DataFrame, batch_id: int, query_id: str) -> None:
+        # What is malformed may be written by a second action, which must not run the state again.
+        rows = rows.persist()
+        try:
+            _land(rows.drop(ARRIVED), folder, f"{query_id}/batch-{batch_id:010d}", fields)
+        finally:
+            rows.unpersist()
+
+    decoded = decode_json(messages, fields, keep_malformed=True, keep_rest=True)
+    arrived = decoded.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, across)
+    new = arrived.dropDuplicatesWithinWatermark([*fields, REST, MALFORMED])
+    return start(new, land_new, checkpoint, **options)

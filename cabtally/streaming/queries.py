@@ -23,6 +23,16 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return found
 
 
+#: How queries keep their state: on the executors' disks, with a log of changes per batch, so
+#: a batch writes what has changed however large the state is; compressed.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.compression": "lz4",
+}
+
+
 def start(
     stream: DataFrame,
     on_batch: BatchFunction,
@@ -50,16 +60,22 @@ def start(
     writer = (
         writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     )
-    if partitions is None:
-        return writer.start()
     # The query copies the session's settings when it starts.
     conf = stream.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(partitions))
+    wanted = STATE_STORE | ({} if partitions is None else {"spark.sql.shuffle.partitions": str(partitions)})
+    before = {name: conf.get(name, None) for name in wanted}
     try:
+        for name, value in wanted.items():
+            conf.set(name, value)
         return writer.start()
     finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
+
+
+def state_of(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The rows of a query's state, ``key`` and ``value``, as of its last batch."""
+    return spark.read.format("statestore").load(checkpoint)
 
 
 def finish(query: StreamingQuery) -> None:

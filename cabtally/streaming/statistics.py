@@ -7,10 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cabtally.functions.trips import unusable
 from cabtally.operators.merge import upsert
 from cabtally.operators.statistics import Statistic, combine
 from cabtally.sources.tables import SnapshotTable
@@ -86,12 +87,16 @@ def merge_stream(
     The source is read once, however many statistics there are. With ``batch`` the
     batch filters apply, as for files. ``committed`` is called after each update, for
     example to copy the totals to a connector table, and again when a batch is repeated.
+    A query's progress tells, as observed metrics ``trips``, how many trips there were and
+    how many amounts nothing could be made of.
     """
 
     def merge(rows: DataFrame, batch_id: int, query_id: str) -> None:
         add_to_tables(rows, statistics, folder, query_id, batch_id, batch, committed)
 
-    return start(trips, merge, checkpoint, **options)
+    bad = unusable(F.col("total_amount")) if "total_amount" in trips.columns else F.lit(False)
+    counts = F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("unusable_amounts")
+    return start(trips.observe("trips", *counts), merge, checkpoint, **options)
 
 
 def running_totals_stream(
@@ -118,6 +123,12 @@ def running_totals_stream(
     return start(totals, replace, checkpoint, mode="update", partitions=partitions, **options)
 
 
+def state_value(state: DataFrame) -> Column:
+    """The running total in the rows of :func:`state_of`: the state holds one sum per key."""
+    (field,) = state.schema["value"].dataType.names[:1]
+    return F.coalesce(F.col(f"value.`{field}`"), F.lit(0).cast("bigint"))
+
+
 def latest(spark: SparkSession, folder: str, statistic: Statistic) -> DataFrame:
     """The published form of a stored statistic."""
     return statistic.present(open_table(spark, folder, statistic).read())
