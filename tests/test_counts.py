@@ -101,5 +101,5 @@ def test_a_number_that_is_missing_does_not_make_a_message_malformed(spark, folde
     _messages(spark, folder, ['{"tip_amount":NaN,"vendorid":7}', '{"vendorid":8,"z":1}'])
     stream = open_stream(spark, "text", f"{folder}/messages")
     finish(land_stream(stream, f"{folder}/landed", f"{folder}/checkpoint", across="1 day", partitions=4))
-    assert sorted((r.vendorid, r.tip_amount) for r in read_csv(spark, f"{folder}/landed").collect()) == [(7, None), (8, None)]
+    assert sorted((r.vendorid, r.tip_amount) for r in read_trips(spark, f"{folder}/landed").collect()) == [(7, None), (8, None)]
     assert Storage(spark, folder).names(f"{folder}/landed/_malformed") == []
