@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from cabtally.llm.common import free_name, stored, table
 
@@ -47,9 +47,11 @@ CORRELATED = 0.4
 BEGINNINGS = (4, 5, 6, 8)
 THRESHOLD = 0.7
 #: Words and features that a worker knows about at a time; bounds of memory only.
-KEPT_WORDS, KEPT_FEATURES = 300_000, 800_000
+KEPT_WORDS, KEPT_FEATURES = 200_000, 300_000
+#: Features of the distinct sets that a task sums the gradients of.
+TASK_FEATURES = 4_000_000
 #: Texts that are looked at together, and their bytes, about.
-TOGETHER, CHUNK_BYTES = 1000, 4 << 20
+TOGETHER, CHUNK_BYTES = 1000, 1 << 20
 #: Steps of fitting the classifier, at most; each is a Spark job.
 STEPS = 150
 
@@ -365,9 +367,17 @@ def _judged(
     row's words that are no voters, in order, and all rows' posteriors."""
     judge = model.judge()
     for _, texts in _chunks(batches):
-        row, number = lookup.of_texts(texts)
-        fired = number < 0
-        yield row[~fired], number[~fired], judge(voters.of_texts(texts, row[fired], -1 - number[fired]))
+        yield _judge(texts, voters, judge, lookup)
+
+
+def _judge(texts: list[str], voters: Voters, judge, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    row, number = lookup.of_texts(texts)
+    fired = number < 0
+    return row[~fired], number[~fired], judge(voters.of_texts(texts, row[fired], -1 - number[fired]))
+
+
+def _scores(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30.0, 30.0)))
 
 
 def _may_tell(number, toxic, base: float, log):
@@ -408,8 +418,8 @@ class Classifier:
         return cls._descend(names[good], base, curve, own.sum() / 4, lambda w, b: _slopes(row, column, 1, p, w, b), steps)
 
     @classmethod
-    def _descend(cls, names, base: float, curve, bias_curve: float, slopes, steps: int) -> Classifier:
-        """Accelerated descent with a small ridge, weights projected to zero or more. The
+    def _descend(cls, names, base: float, curve, bias_curve: float, slopes, steps: int, whole: bool = False) -> Classifier:
+        """Only features of some weight are kept, or with ``whole`` all, in order. Accelerated descent with a small ridge, weights projected to zero or more. The
         steps' sizes follow from bounds of the loss's second derivatives."""
         w, bias = np.zeros(len(names)), math.log(max(base, 1e-3) / max(1 - base, 1e-3))
         curve = curve + 0.05
@@ -428,12 +438,17 @@ class Classifier:
             w, bias, pace = new, new_bias, after
             if moved < 1e-3:
                 break
-        used = w > 1e-3
+        w = np.where(w > 1e-3, w, 0.0)
+        used = np.ones(len(w), bool) if whole else w > 0
         return cls(float(bias), dict(zip(names[used].tolist(), w[used].tolist(), strict=True)))
 
     @classmethod
-    def fit_all(cls, documents: DataFrame, voters: Voters, model: LabelModel, steps: int = STEPS) -> Classifier:
-        """From all ``documents`` ``(text)`` and their posteriors."""
+    def fit_all(
+        cls, documents: DataFrame, voters: Voters, model: LabelModel, steps: int = STEPS
+    ) -> tuple[Classifier, DataFrame | None]:
+        """From all ``documents`` ``(text, learned, ...)`` that are to be learned from, and their
+        posteriors. Also gives, of all documents, the other columns and ``weighed``, the places
+        of their features among the classifier's ``names``; none if there is nothing to learn."""
 
         def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             places: dict[int, int] = {}
@@ -455,12 +470,13 @@ class Classifier:
                     number, toxic = np.zeros(0, np.int64), np.zeros(0)
             yield rows(list(places), number, toxic)
 
-        found = documents.select("text").mapInArrow(counts, "feature long, number long, toxic double")
+        learned = documents.where("learned").select("text")
+        found = learned.mapInArrow(counts, "feature long, number long, toxic double")
         found = found.groupBy("feature").agg(F.sum("number").alias("number"), F.sum("toxic").alias("toxic"))
         found = stored(found, "features")
         every = found.where("feature = -1").first()
         if every is None:
-            return cls(math.log(0.05 / 0.95), {})
+            return cls(math.log(0.05 / 0.95), {}), None
         base = every.toxic / every.number
         good = found.where((F.col("feature") >= 0) & _may_tell(F.col("number"), F.col("toxic"), base, F.log))
         names = np.sort(good.select("feature").toArrow().column(0).to_numpy())
@@ -469,14 +485,23 @@ class Classifier:
         def of_word(word: str) -> list[int]:
             return [n for n in (numbers.get(_hash(f)) for f in _features(word)) if n is not None]
 
+        carried = [field for field in documents.schema if field.name != "text"]
+
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for row, feature, p in _judged(batches, voters, model, _with_voters(voters, of_word)):
+            lookup, judge = _with_voters(voters, of_word), model.judge()
+            for rows, texts in _chunks(batches):
+                row, feature, p = _judge(texts, voters, judge, lookup)
                 offsets = np.searchsorted(row, np.arange(len(p) + 1))
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(feature, pa.int32()))
-                yield pa.RecordBatch.from_arrays([lists, pa.array(p)], ["features", "p"])
-
-        found = documents.select("text").mapInArrow(sets, "features array<int>, p double")
-        found = stored(found.groupBy("features").agg(F.count("*").alias("n"), F.sum("p").alias("p")), "feature-sets")
+                yield pa.RecordBatch.from_arrays([*rows.columns[1:], lists, pa.array(p)], [*(c.name for c in carried), "weighed", "p"])
+
+        schema = StructType([*carried, StructField("weighed", ArrayType(IntegerType())), StructField("p", DoubleType())])
+        weighed = stored(documents.select("text", *(c.name for c in carried)).mapInArrow(sets, schema), "weighed")
+        found = weighed.where("learned").groupBy(F.col("weighed").alias("features"))
+        found = stored(found.agg(F.count("*").alias("n"), F.sum("p").alias("p")), "feature-sets")
+        # Each step is a job over these; a task has so many that its work outweighs its start.
+        held = found.agg(F.sum(F.size("features") + 1)).first()[0] or 0
+        found = found.coalesce(1 + held // TASK_FEATURES)
         size = len(names)
 
         def summed(of) -> tuple[np.ndarray, float, float]:
@@ -509,13 +534,31 @@ class Classifier:
             return summed(of)
 
         curve, bias_curve, _ = summed(curves)
-        return cls._descend(names, base, curve, bias_curve, slopes, steps)
+        return cls._descend(names, base, curve, bias_curve, slopes, steps, whole=True), weighed
+
+    def score_weighed(self, weighed: DataFrame, name: str) -> DataFrame:
+        """What :meth:`fit_all` gave of the documents, with their scores as ``name`` in place of
+        ``weighed``, ``learned`` and ``p``."""
+        bias, weights = self.bias, np.fromiter(self.weights.values(), float, len(self.weights))
+        kept = [field for field in weighed.schema if field.name not in ("weighed", "learned", "p")]
+        names = [*(field.name for field in kept), name]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = batch.column(0)
+                row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                scores = _scores(bias + np.bincount(row, weights[lists.flatten().to_numpy()], len(lists)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], names)
+
+        schema = StructType([*kept, StructField(name, DoubleType())])
+        return weighed.select("weighed", *names[:-1]).mapInArrow(run, schema)
 
     def score(self, documents: DataFrame, name: str) -> DataFrame:
         """``documents`` with their scores as ``name``, from their column ``text``; nothing is
         moved. ``name`` has to be free."""
-        bias, place = self.bias, {feature: i for i, feature in enumerate(self.weights)}
-        weights = np.fromiter(self.weights.values(), float, len(place))
+        used = {feature: weight for feature, weight in self.weights.items() if weight}
+        bias, place = self.bias, {feature: i for i, feature in enumerate(used)}
+        weights = np.fromiter(used.values(), float, len(place))
         text = documents.columns.index("text")
 
         def of_word(word: str) -> list[int]:
@@ -525,17 +568,17 @@ class Classifier:
             lookup = Lookup(of_word)
             for rows, texts in _chunks(batches, text):
                 row, feature = lookup.of_texts(texts)
-                z = bias + np.bincount(row, weights[feature], len(texts))
-                scores = 1 / (1 + np.exp(-np.clip(z, -30.0, 30.0)))
+                scores = _scores(bias + np.bincount(row, weights[feature], len(texts)))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(scores, pa.float64())], names)
 
         names = [*documents.columns, name]
         return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField(name, DoubleType())]))
 
 
-def train(documents: DataFrame, labels: DataFrame) -> Classifier:
+def train(documents: DataFrame, labels: DataFrame, weigh_all: bool = False) -> tuple[Classifier, DataFrame | None]:
     """``documents``: ``(doc_id, text)``; ``labels``: ``(doc_id, toxic)``, of which those of
-    held-out ids and null ones are not used. Of several labels of an id the highest counts."""
+    held-out ids and null ones are not used. Of several labels of an id the highest counts.
+    With ``weigh_all`` also what :meth:`Classifier.fit_all` gives of all documents."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -544,7 +587,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Classifier:
     known = stored(known, "labelled")
     number = {r.toxic: r["count"] for r in documents.select("doc_id").join(known, "doc_id").groupBy("toxic").count().collect()}
     toxic, clean = number.get(1, 0), number.get(0, 0)
-    learned = documents.where(~held_out(F.col("doc_id")))
+    documents = documents.withColumn("learned", ~held_out(F.col("doc_id")))
+    learned = documents.where("learned")
     voters = Voters(mined_voters(learned.join(known, "doc_id").select("text", "toxic"), toxic, clean))
 
     voted = stored(votes(documents, voters), "votes")
@@ -566,7 +610,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Classifier:
     )
     if not patterns.isEmpty():
         model.fit(patterns)
-    return Classifier.fit_all(learned, voters, model)
+    return Classifier.fit_all(documents if weigh_all else learned, voters, model)
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -579,14 +623,15 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     an empty result.
     """
     rows = documents.select("doc_id", "text")
-    classifier = train(rows, labels.select("doc_id", "toxic"))
-    return classifier.score(rows, "score").select("doc_id", "score")
+    classifier, weighed = train(rows, labels.select("doc_id", "toxic"), weigh_all=True)
+    scored = classifier.score(rows, "score") if weighed is None else classifier.score_weighed(weighed, "score")
+    return scored.select("doc_id", "score")
 
 
 def clean_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The ``documents`` that score below ``threshold``, all their columns. They are read
     several times, in any order."""
-    classifier = train(documents.select("doc_id", "text"), labels.select("doc_id", "toxic"))
+    classifier, _ = train(documents.select("doc_id", "text"), labels.select("doc_id", "toxic"))
     score = free_name(documents, "score")
     return classifier.score(documents, score).where(F.col(score) < threshold).drop(score)
 
