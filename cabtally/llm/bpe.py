@@ -187,6 +187,12 @@ class Bpe:
             self._bytes, missing = 0, words
         self.encode_words(missing)
 
+    def forget(self) -> None:
+        """Free what has been learnt, for a worker that goes on with other work."""
+        self._known.clear()
+        self._follows.clear()
+        self._bytes = 0
+
     def encode_batch(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """For each text how many ids, the digest of the ids, and the digest of the text
         decoded from them."""
@@ -268,6 +274,7 @@ def encode_and_decode(documents: DataFrame, path: str, text: str = "text") -> Da
             digests = [hashlib.sha256(bpe(path).decode(ids.tolist()).encode()).hexdigest() for ids in found]
             kept = [column for i, column in enumerate(batch.columns) if i != place]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.list_(pa.int32())), pa.array(digests, pa.string())], names)
+        bpe(path).forget()
 
     rest = documents.drop(text)
     names = [*rest.columns, "token_ids", "decoded_sha256"]

@@ -47,9 +47,11 @@ CORRELATED = 0.4
 BEGINNINGS = (4, 5, 6, 8)
 THRESHOLD = 0.7
 #: Words and features that a worker knows about at a time; bounds of memory only.
-KEPT_WORDS, KEPT_FEATURES = 200_000, 300_000
+KEPT_WORDS, KEPT_FEATURES = 100_000, 200_000
 #: Features of the distinct sets that a task sums the gradients of.
 TASK_FEATURES = 4_000_000
+#: Numbers that are added up over tasks together.
+BLOCK = 1024
 #: Texts that are looked at together, and their bytes, about.
 TOGETHER, CHUNK_BYTES = 1000, 1 << 20
 #: Steps of fitting the classifier, at most; each is a Spark job.
@@ -395,6 +397,12 @@ def _slopes(row, column, n, p, w, bias) -> tuple[np.ndarray, float, float]:
     return np.bincount(column, error[row], len(w)), float(error.sum()), float(loss)
 
 
+def _added(rows: pa.Table) -> pa.Table:
+    values = rows.column("values").combine_chunks()
+    total = values.flatten().to_numpy().reshape(len(values), -1).sum(axis=0)
+    return pa.table({"block": rows.column("block").slice(0, 1), "values": pa.array([total])})
+
+
 class Classifier:
     """Logistic regression on which features a text has. Weights are not negative: more
     clean words do not make up for a toxic one, so long texts need no other treatment."""
@@ -513,13 +521,13 @@ class Classifier:
                     lists = batch.column(0)
                     row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
                     total += np.append(*of(row, lists.flatten().to_numpy(), *(c.to_numpy() for c in batch.columns[1:])))
-                some = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["at", "value"])
+                blocks = [total[at : at + BLOCK] for at in range(0, len(total), BLOCK)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int64()), pa.array(blocks)], ["block", "values"])
 
-            parts = found.mapInArrow(run, "at long, value double").repartition(1 + size // 1_000_000, "at")
-            parts = parts.groupBy("at").agg(F.sum("value")).toArrow()
-            total = np.zeros(size + 2)
-            total[parts.column(0).to_numpy()] = parts.column(1).to_numpy()
+            # A task sends its sums in blocks, of which Spark adds up those of all tasks.
+            parts = found.mapInArrow(run, "block long, values array<double>").repartition(1 + size // 1_000_000, "block")
+            whole = parts.groupBy("block").applyInArrow(_added, "block long, values array<double>").toArrow().sort_by("block")
+            total = whole.column("values").combine_chunks().flatten().to_numpy()
             return total[:size], float(total[size]), float(total[size + 1])
 
         def curves(row, column, n, p):
