@@ -79,7 +79,8 @@ class StageCounts:
         found = []
         for stage, seen in self._seen.items():
             found += [(stage if name == "rows" else name, count) for name, count in seen.get.items()]
-        return spark.createDataFrame(found, "stage string, rows bigint")
+        rows = [F.struct(F.lit(stage).alias("stage"), F.lit(n).cast("bigint").alias("rows")) for stage, n in found]
+        return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def stage_row_counts(stages: dict[str, DataFrame]) -> DataFrame:
