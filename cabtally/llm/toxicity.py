@@ -47,7 +47,7 @@ CORRELATED = 0.4
 BEGINNINGS = (4, 5, 6, 8)
 THRESHOLD = 0.7
 #: Words and features that a worker knows about at a time; bounds of memory only.
-KEPT_WORDS, KEPT_FEATURES = 100_000, 200_000
+KEPT_WORDS, KEPT_FEATURES = 200_000, 250_000
 #: Features of the distinct sets that a task sums the gradients of.
 TASK_FEATURES = 4_000_000
 #: Numbers that are added up over tasks together.
@@ -92,11 +92,11 @@ class _Places(dict):
 
 
 class Lookup:
-    """The numbers that a function gives the words of texts. It is asked once for each word;
-    a bounded number of words is kept."""
+    """The numbers that a function gives the features of a text's words. It is asked once for
+    each word; a bounded number of words is kept."""
 
-    def __init__(self, of_word: Callable[[str], Iterable[int]]):
-        self._of_word = of_word
+    def __init__(self, of_features: Callable[[list[str]], Iterable[int]]):
+        self._of_features = of_features
         self.clear()
 
     def clear(self) -> None:
@@ -111,17 +111,22 @@ class Lookup:
             own = text.encode().translate(LETTERS).split()
             words.extend(map(self._places.__getitem__, own))
             sizes.append(len(own))
+        numbers, of_features = self._numbers, self._of_features
+        extend, end = numbers.extend, self._ends.append
         for word in islice(self._places, len(self._ends) - 1, None):
-            for token in _TOKEN.findall(word.decode()):
-                self._numbers.extend(self._of_word(token))
-            self._ends.append(len(self._numbers))
+            if word.isascii():
+                extend(of_features(_features(word.decode())))
+            else:
+                for token in _TOKEN.findall(word.decode()):
+                    extend(of_features(_features(token)))
+            end(len(numbers))
         row, word = _distinct(np.repeat(np.arange(len(texts)), sizes), np.array(words, np.int64))
-        if not len(row) or not self._numbers:
+        if not len(row) or not numbers:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        ends, numbers = np.frombuffer(self._ends, np.int64), np.frombuffer(self._numbers, np.int64)
+        ends, known = np.frombuffer(self._ends, np.int64), np.frombuffer(numbers, np.int64)
         first, lengths = ends[word], ends[word + 1] - ends[word]
         at = np.arange(lengths.sum()) + np.repeat(first - (np.cumsum(lengths) - lengths), lengths)
-        return _distinct(np.repeat(row, lengths), numbers[at])
+        return _distinct(np.repeat(row, lengths), known[at])
 
 
 def _distinct(row: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +158,7 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places: dict[str, int] = {}
-        lookup = Lookup(lambda word: [places.setdefault(f, len(places)) for f in _features(word)])
+        lookup = Lookup(lambda features: [places.setdefault(f, len(places)) for f in features])
         counts = np.zeros((2, 0), np.int64)
 
         def taken() -> pa.RecordBatch:
@@ -226,10 +231,12 @@ class Voters:
         own = (hit[a:b].tolist() for a, b in pairwise(ends.tolist()))
         return [sorted({*hits, *self.of_text(text)}) for hits, text in zip(own, texts, strict=True)]
 
-    def of_word(self, word: str) -> tuple[int, ...]:
-        """The lexicon's voter, and the best of the mined ones of the word's family."""
-        mined = [self._mined[f] for f in _features(word) if f in self._mined]
-        return ((self._lexicon[word],) if word in self._lexicon else ()) + ((min(mined),) if mined else ())
+    def of_features(self, features: list[str]) -> list[int]:
+        """The lexicon's voter for a word, and the best of the mined ones of its family."""
+        fired = [self._lexicon[features[0]]] if features[0] in self._lexicon else []
+        if not self._mined.keys().isdisjoint(features):
+            fired.append(min(self._mined[f] for f in features if f in self._mined))
+        return fired
 
 
 def votes(documents: DataFrame, voters: Voters) -> DataFrame:
@@ -237,7 +244,7 @@ def votes(documents: DataFrame, voters: Voters) -> DataFrame:
     ``(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(voters.of_word)
+        lookup = Lookup(voters.of_features)
         for rows, texts in _chunks(batches, 1):
             hits = voters.of_texts(texts, *lookup.of_texts(texts))
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(hits, pa.list_(pa.int32()))], ["doc_id", "hits"])
@@ -357,9 +364,14 @@ def _hash(feature: str) -> int:
     return xxhash.xxh64_intdigest(feature) >> 1
 
 
-def _with_voters(voters: Voters, of_word: Callable[[str], Iterable[int]]) -> Lookup:
-    """What ``of_word`` says of a word, and its voters as negative numbers."""
-    return Lookup(lambda word: (*(-1 - v for v in voters.of_word(word)), *of_word(word)))
+def _with_voters(voters: Voters, of_features: Callable[[list[str]], list[int]]) -> Lookup:
+    """What ``of_features`` says of a word, and its voters as negative numbers."""
+
+    def both(features: list[str]) -> list[int]:
+        fired, numbers = voters.of_features(features), of_features(features)
+        return [*numbers, *(-1 - v for v in fired)] if fired else numbers
+
+    return Lookup(both)
 
 
 def _judged(
@@ -459,8 +471,8 @@ class Classifier:
         of their features among the classifier's ``names``; none if there is nothing to learn."""
 
         def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            places: dict[int, int] = {}
-            lookup = _with_voters(voters, lambda word: [places.setdefault(_hash(f), len(places)) for f in _features(word)])
+            places: dict[str, int] = {}
+            lookup = _with_voters(voters, lambda features: [places.setdefault(f, len(places)) for f in features])
             number, toxic = np.zeros(0, np.int64), np.zeros(0)
 
             def rows(names, number, toxic) -> pa.RecordBatch:
@@ -473,10 +485,10 @@ class Classifier:
                 np.add.at(toxic, place, p[row])
                 yield rows([-1], [len(p)], [p.sum()])
                 if len(places) > KEPT_FEATURES:
-                    yield rows(list(places), number, toxic)
+                    yield rows(list(map(_hash, places)), number, toxic)
                     places.clear(), lookup.clear()
                     number, toxic = np.zeros(0, np.int64), np.zeros(0)
-            yield rows(list(places), number, toxic)
+            yield rows(list(map(_hash, places)), number, toxic)
 
         learned = documents.where("learned").select("text")
         found = learned.mapInArrow(counts, "feature long, number long, toxic double")
@@ -490,13 +502,13 @@ class Classifier:
         names = np.sort(good.select("feature").toArrow().column(0).to_numpy())
         numbers = {name: i for i, name in enumerate(names.tolist())}
 
-        def of_word(word: str) -> list[int]:
-            return [n for n in (numbers.get(_hash(f)) for f in _features(word)) if n is not None]
+        def of_features(features: list[str]) -> list[int]:
+            return [numbers[h] for h in map(_hash, features) if h in numbers]
 
         carried = [field for field in documents.schema if field.name != "text"]
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lookup, judge = _with_voters(voters, of_word), model.judge()
+            lookup, judge = _with_voters(voters, of_features), model.judge()
             for rows, texts in _chunks(batches):
                 row, feature, p = _judge(texts, voters, judge, lookup)
                 offsets = np.searchsorted(row, np.arange(len(p) + 1))
@@ -569,11 +581,11 @@ class Classifier:
         weights = np.fromiter(used.values(), float, len(place))
         text = documents.columns.index("text")
 
-        def of_word(word: str) -> list[int]:
-            return [place[h] for h in map(_hash, _features(word)) if h in place]
+        def of_features(features: list[str]) -> list[int]:
+            return [place[h] for h in map(_hash, features) if h in place]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lookup = Lookup(of_word)
+            lookup = Lookup(of_features)
             for rows, texts in _chunks(batches, text):
                 row, feature = lookup.of_texts(texts)
                 scores = _scores(bias + np.bincount(row, weights[feature], len(texts)))
