@@ -183,9 +183,9 @@ class _Inflated(io.RawIOBase):
                 return len(out)
 
 
-def _headers(read) -> tuple[str, list[tuple[str, str]]]:
-    """First line, and the headers after it, up to the blank line."""
-    first, found = read().decode("utf-8", "replace").strip(), []
+def _headers(read) -> list[tuple[str, str]]:
+    """The headers up to the blank line."""
+    found = []
     while line := read().decode("utf-8", "replace"):
         if not line.strip():
             break
@@ -194,21 +194,21 @@ def _headers(read) -> tuple[str, list[tuple[str, str]]]:
             continue
         name, _, value = line.partition(":")
         found.append((name.strip().lower(), value.strip()))
-    return first, found
+    return found
 
 
 def records(data: bytes) -> Iterator[dict]:
     """The records of an archive. Of request and response blocks the HTTP head is a string
     and the rest the payload; of warc-fields the fields are a map."""
     stream = io.BufferedReader(_Inflated(data), CHUNK)
-    while True:
-        while (peek := stream.peek(2)[:2]) in (b"\r\n", b"\n", b"\n\n", b"\n\r"):
-            stream.readline()
-        if not peek:
-            return
-        version, headers = _headers(stream.readline)
+    while line := stream.readline():
+        # Whole lines, as the buffer may end between the two bytes of a line end.
+        if line in (b"\r\n", b"\n"):
+            continue
+        version = line.decode("utf-8", "replace").strip()
         if not version.startswith("WARC/"):
             raise ValueError(f"no WARC record begins with {version[:40]!r}")
+        headers = _headers(stream.readline)
         of = dict(reversed(headers))
         block = stream.read(int(of["content-length"]))
         kind, head, fields = of.get("content-type", ""), None, None
@@ -218,7 +218,7 @@ def records(data: bytes) -> Iterator[dict]:
             cut = len(block) if at < 0 else at + 4
             head, payload = block[:cut].decode("utf-8", "replace"), block[cut:]
         elif kind.startswith("application/warc-fields"):
-            fields = _headers(io.BytesIO(b"\r\n" + block).readline)[1]
+            fields = _headers(io.BytesIO(block).readline)
             fields = list(dict(reversed(fields)).items())
         yield {
             "record_id": of.get("warc-record-id"),

@@ -64,6 +64,16 @@ def test_transactions_are_found_by_identifiers_alone(spark, tmp_path):
     assert {f.key: f.value for f in got["<r1>"].metadata[0].fields} == {"k": "v"}
 
 
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+@pytest.mark.parametrize("cut", range(6))
+def test_a_buffer_may_end_anywhere_between_records(pack, cut):
+    size = (1 << 20) + 4 - cut  # of the first record with the four bytes after it
+    block = "x" * (size - len(record("resource", "a", block="x" * 1_000_000, content="text/plain")) + 1_000_000)
+    archive = record("resource", "a", block=block, content="text/plain") + record("resource", "b", block="y", content="text/plain")
+    assert archive.index("WARC/1.0", 1) == size
+    assert [(r["record_id"], r["payload_bytes"]) for r in records(pack(archive.encode()))] == [("<a>", len(block)), ("<b>", 1)]
+
+
 def test_damaged_archives_are_refused():
     with pytest.raises(ValueError, match="no WARC record"):
         list(records(b"HTTP/1.1 200 OK\r\n\r\n"))
