@@ -34,7 +34,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from cabtally.llm.common import table
+from cabtally.llm.common import freeing, table
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Bytes of encodings that a worker keeps, about, and pairs of tokens that it knows about.
@@ -316,7 +316,7 @@ def encode_and_decode(documents: DataFrame, path: str, text: str = "text") -> Da
     rest = documents.drop(text)
     names = [*rest.columns, "token_ids", "decoded_sha256"]
     fields = [StructField("token_ids", ArrayType(IntegerType())), StructField("decoded_sha256", StringType())]
-    return documents.mapInArrow(run, StructType([*rest.schema.fields, *fields]))
+    return documents.mapInArrow(freeing(run), StructType([*rest.schema.fields, *fields]))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from cabtally.llm.common import free_name, stored, table
+from cabtally.llm.common import free_name, freeing, stored, table
 
 #: How many times as often as in clean documents a voter has to be found in toxic ones.
 ODDS = 20
@@ -177,7 +177,7 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
 
     return (
         labelled.select("text", "toxic")
-        .mapInArrow(run, "feature string, toxic long, clean long")
+        .mapInArrow(freeing(run), "feature string, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
@@ -250,7 +250,7 @@ def votes(documents: DataFrame, voters: Voters) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(hits, pa.list_(pa.int32()))], ["doc_id", "hits"])
 
     kind = dict(documents.dtypes)["doc_id"]
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, hits array<int>")
+    return documents.select("doc_id", "text").mapInArrow(freeing(run), f"doc_id {kind}, hits array<int>")
 
 
 class LabelModel:
@@ -491,7 +491,7 @@ class Classifier:
             yield rows(list(map(_hash, places)), number, toxic)
 
         learned = documents.where("learned").select("text")
-        found = learned.mapInArrow(counts, "feature long, number long, toxic double")
+        found = learned.mapInArrow(freeing(counts), "feature long, number long, toxic double")
         found = found.groupBy("feature").agg(F.sum("number").alias("number"), F.sum("toxic").alias("toxic"))
         found = stored(found, "features")
         every = found.where("feature = -1").first()
@@ -516,7 +516,7 @@ class Classifier:
                 yield pa.RecordBatch.from_arrays([*rows.columns[1:], lists, pa.array(p)], [*(c.name for c in carried), "weighed", "p"])
 
         schema = StructType([*carried, StructField("weighed", ArrayType(IntegerType())), StructField("p", DoubleType())])
-        weighed = stored(documents.select("text", *(c.name for c in carried)).mapInArrow(sets, schema), "weighed")
+        weighed = stored(documents.select("text", *(c.name for c in carried)).mapInArrow(freeing(sets), schema), "weighed")
         found = weighed.where("learned").groupBy(F.col("weighed").alias("features"))
         found = stored(found.agg(F.count("*").alias("n"), F.sum("p").alias("p")), "feature-sets")
         # Each step is a job over these; a task has so many that its work outweighs its start.
@@ -592,7 +592,7 @@ class Classifier:
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(scores, pa.float64())], names)
 
         names = [*documents.columns, name]
-        return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField(name, DoubleType())]))
+        return documents.mapInArrow(freeing(run), StructType([*documents.schema.fields, StructField(name, DoubleType())]))
 
 
 def train(documents: DataFrame, labels: DataFrame, weigh_all: bool = False) -> tuple[Classifier, DataFrame | None]:

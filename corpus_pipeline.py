@@ -17,16 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabtally.llm.bpe import encode_and_decode, tokenizer_path
-from cabtally.llm.common import stored, table
+from cabtally.llm.common import rows_at_once, stored, table
 from cabtally.llm.exact_dedup import exact_dedup
 from cabtally.llm.mixing import mix
 from cabtally.llm.simhash import near_dedup
 from cabtally.llm.toxicity import clean_documents
 
+#: Documents that Python gets at once.
+ROWS = 1000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go. The classifier learns from ``labels`` and docs."""
-    return clean_documents(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    """Documents that score as toxic go. The classifier learns from ``labels`` and docs. The
+    result is written here, while Python is given few documents at once: with all their
+    columns they go through it."""
+    with rows_at_once(spark, ROWS):
+        return stored(clean_documents(docs, table(spark, sf_dir, "labels", "doc_id", "toxic")), "pipeline-toxicity")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +74,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES):
+        if number < len(STAGES) and stage is not drop_toxic:  # which has written its own
             docs = stored(docs, f"pipeline-{name}")
     return docs

@@ -71,6 +71,24 @@ def test_texts_are_encoded(stages):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_toxicity_gives_python_few_documents_at_once(spark, small, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, most = spark.conf.get(key), spark.sparkContext.accumulator(0)
+
+    def clean(docs, labels):
+        def run(batches):
+            for batch in batches:
+                most.add(batch.num_rows > corpus_pipeline.ROWS)
+                yield batch
+
+        return docs.mapInArrow(run, docs.schema)
+
+    monkeypatch.setattr(corpus_pipeline, "clean_documents", clean)
+    docs = spark.range(3 * corpus_pipeline.ROWS, numPartitions=1).selectExpr("id AS doc_id", "'x' AS text")
+    assert corpus_pipeline.drop_toxic(spark, docs, small).count() == 3 * corpus_pipeline.ROWS
+    assert most.value == 0 and spark.conf.get(key) == before
+
+
 def test_run_is_the_stages_one_after_the_other(spark, small, stages):
     got = corpus_pipeline.run(spark, small)
     assert got.columns == stages[5].columns
