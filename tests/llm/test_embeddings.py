@@ -1,7 +1,10 @@
+import math
+
 import numpy as np
 import pytest
 
 from cabtally.llm import embeddings
+from cabtally.llm.common import shuffles_freed
 from cabtally.llm.embeddings import least_count, near_vectors, op5_embedding_near_dups, shape
 
 SCHEMA = "vec_id long, embedding array<float>"
@@ -79,3 +82,79 @@ def test_unusable_vectors_copies_and_other_lengths(spark):
 def test_tables_grow_slower_than_vectors():
     assert [shape(n)[0] for n in (1, 500, 10**6)] == sorted(shape(n)[0] for n in (1, 500, 10**6))
     assert shape(10**8)[1] < 20 * shape(10**4)[1] and 20 < least_count() < 32
+
+
+@pytest.mark.parametrize("directions", [1, 3, 20])
+def test_probability_of_a_common_direction(directions):
+    rng = np.random.default_rng(1)
+    a, b = rng.standard_normal((2, 100_000, directions))
+    b = 0.9 * a + math.sqrt(0.19) * b
+    far = np.abs(a).argmax(axis=1)
+    at = np.arange(len(a)), far
+    hits = (far == np.abs(b).argmax(axis=1)) & (a[at] * b[at] > 0)
+    assert embeddings._same_direction(0.9, directions) == pytest.approx(hits.mean(), abs=0.006)
+
+
+def test_tables_sort_codes_and_few_vectors_are_sent(spark, monkeypatch):
+    """What a table sorts does not grow with the vectors' length; what is verified is near."""
+    counted, verified = [], []
+    count_reached, verify = embeddings._count_reached, embeddings._verified
+    monkeypatch.setattr(embeddings, "_count_reached", lambda members, *a: counted.append(members) or count_reached(members, *a))
+    monkeypatch.setattr(embeddings, "_verified", lambda members, *a: verified.append(members) or verify(members, *a))
+    rng = np.random.default_rng(5)
+    vectors = crowd(rng, 40, 2, 0.05, 256) + crowd(rng, 3000, 1, 0, 256)
+    got = near_vectors(spark.createDataFrame(list(enumerate(vectors)), SCHEMA))
+    assert got.where("n_links > 0").count() == 80
+    assert all(members.columns == ["place", "tile", "side", "node", "size", "cells", "codes"] for members in counted)
+    sent = counted[0].selectExpr("max(octet_length(codes)) AS codes", "max(size(cells)) AS cells").first()
+    assert sent.codes == embeddings.DIRECTIONS and sent.cells < embeddings.TABLES
+    assert 80 <= sum(members.select("node").count() for members in verified) < 160
+
+
+def test_shuffle_files_go_with_the_tables(spark):
+    key, during = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(key, None)
+    with shuffles_freed(spark):
+        during.append(spark.conf.get(key))
+    assert during == ["true"] and spark.conf.get(key, None) == before
+
+
+@pytest.mark.parametrize("tables_at_once", [1, 3])
+def test_many_small_tables_against_brute_force(spark, smallest_reachable, monkeypatch, tables_at_once):
+    monkeypatch.setattr(embeddings, "TABLES", tables_at_once)
+    monkeypatch.setattr(embeddings, "MEMBERS", 4)
+    monkeypatch.setattr(embeddings, "TILE", 3)
+    rng = np.random.default_rng(8)
+    vectors = crowd(rng, 40, 3, 0.2) + crowd(rng, 1, 40, 0.1) + crowd(rng, 300, 1, 0)
+    ids = [5000 - 3 * i for i in range(len(vectors))]
+    got = {r.vec_id: r for r in near_vectors(spark.createDataFrame(list(zip(ids, vectors, strict=True)), SCHEMA)).collect()}
+    near = brute(vectors)
+    want = near.sum(axis=1) - 1
+    found = np.array([got[i].n_links for i in ids])
+    assert (found <= want).all() and found.sum() >= 0.97 * want.sum()
+    if (found == want).all():
+        assert [got[i].component_id for i in ids] == smallest_reachable(near, ids)
+
+
+def test_vectors_with_much_in_common_get_finer_cells(spark, monkeypatch):
+    shapes, shape_of = [], embeddings.shape
+    monkeypatch.setattr(embeddings, "MEMBERS", 20)
+    monkeypatch.setattr(embeddings, "CROWDED", 1.5)
+    monkeypatch.setattr(embeddings, "shape", lambda *a: shapes.append(shape_of(*a)) or shapes[-1])
+    rng = np.random.default_rng(9)
+    vectors = [(x + 1.2).astype(np.float32) for x in rng.standard_normal((700, 32))]
+    vectors = [x.tolist() for x in [*vectors, *(x * 2 + 0.01 for x in vectors[:50])]]
+    got = {r.vec_id: r.n_links for r in near_vectors(spark.createDataFrame(list(enumerate(vectors)), SCHEMA)).collect()}
+    want = brute(vectors).sum(axis=1) - 1
+    found = np.array([got[i] for i in range(len(vectors))])
+    assert len(shapes) > 1 and shapes[1][0] > shapes[0][0]
+    assert (found <= want).all() and found.sum() >= 0.97 * want.sum() > 0
+
+
+def test_sides_of_vectors_of_several_lengths(spark, monkeypatch):
+    """Each pair counts once, also where crowded cells are cut and lengths differ."""
+    monkeypatch.setattr(embeddings, "TILE", 2)
+    vectors = [[1.0, 0.01 * i] for i in range(9)] + [[1.0, 0.0, 0.01 * i] for i in range(7)] + [[2.0]] * 2 + [[3.0]]
+    got = {r.vec_id: r for r in near_vectors(spark.createDataFrame(list(enumerate(vectors)), SCHEMA)).collect()}
+    assert [got[i].n_links for i in range(19)] == [8] * 9 + [6] * 7 + [2] * 3
+    assert [got[i].component_id for i in range(19)] == [0] * 9 + [9] * 7 + [16] * 3
