@@ -27,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -55,7 +55,7 @@ CHOICE = 128
 #: Times as many pairs as expected that make cells finer.
 CROWDED = 8
 #: Members of a tile's side, and of it that are compared at once.
-TILE = 2000
+TILE = 4000
 ROWS = 128
 #: Tables that are sorted at once.
 TABLES = 4
@@ -110,8 +110,8 @@ def _farthest(cosine: float) -> float:
 
 
 @lru_cache(8)
-def _directions(size: int, number: int, part: int) -> np.ndarray:
-    return np.random.default_rng((SEED, part, size)).standard_normal((size, number))
+def _directions(size: int, number: int, part: int, kind: type = np.float64) -> np.ndarray:
+    return np.random.default_rng((SEED, part, size)).standard_normal((size, number), kind)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -167,7 +167,8 @@ def _keyed(vectors: DataFrame, parts: int, tables: int, directions: int) -> Data
         if not directions:
             return np.full((len(unit), tables), size, np.int32)
         side = np.empty((len(unit), number), np.int64)
-        own = _directions(size, number * directions, 1)
+        own = _directions(size, number * directions, 1, np.float32)
+        unit = unit.astype(np.float32)
         together = max(1, (1 << 21) // own.shape[1])
         for at in range(0, len(unit), together):
             place = (unit[at : at + together] @ own).reshape(-1, number, directions)
@@ -351,7 +352,8 @@ def _cells(keyed: DataFrame, tables: range) -> DataFrame:
     """The ``keyed`` in each of the tables: ``cells`` are those of the tables before it, and
     ``place`` is the table and its own."""
     frame = keyed.withColumn("table_number", F.explode(F.sequence(F.lit(tables.start), F.lit(tables.stop - 1))))
-    place = F.shiftleft(F.col("table_number").cast("long"), 32) + F.get("cells", F.col("table_number"))
+    own = F.get("cells", F.col("table_number")) + F.lit(1 << 31)
+    place = F.shiftleft(F.col("table_number").cast("long"), 32) + own
     before = F.slice("cells", F.lit(1), F.col("table_number"))
     return frame.withColumns({"place": place, "cells": before}).drop("table_number")
 
@@ -384,26 +386,34 @@ def _links(distinct: DataFrame, vectors: DataFrame, cosine: float) -> DataFrame:
     is no larger."""
     number = distinct.count()
     keyed, crowd, tables = _placed(distinct, vectors, number, cosine)
-    links, waiting, rows = None, None, 0
+    links: list[DataFrame] = []
+    waiting: list[DataFrame] = []
+    begin, rows = 0, 0
     for first in range(0, tables, TABLES):
+        last = min(first + TABLES, tables)
         # Each pair of parts of a crowded cell is a tile; a member goes to those of its part.
-        members = _cells(keyed, range(first, min(first + TABLES, tables))).join(crowd, "place", "left")
+        members = _cells(keyed, range(first, last)).join(crowd, "place", "left")
         parts = F.coalesce("parts", F.lit(1))
         members = members.withColumn("side", F.pmod(F.xxhash64("node", "place"), parts).cast("int"))
         members = members.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
         low, high = F.least("side", "other").cast("long"), F.greatest("side", "other").cast("long")
         members = members.withColumn("tile", F.shiftleft(low, 32).bitwiseOR(high))
         members = members.select("place", "tile", "side", "node", "size", "cells", "codes")
-        reached = stored(_count_reached(members, cosine), "vector-pairs")
-        waiting = reached if waiting is None else waiting.union(reached)
-        rows += reached.count()
-        if rows > number or first + TABLES >= tables:  # so that few vectors are sent at once
-            found = vectors.select("row", "embedding").join(waiting, F.col("row") == F.col("node"))
+        waiting.append(stored(_count_reached(members, cosine), "vector-pairs"))
+        rows += waiting[-1].count()
+        if rows <= number / 2 and last < tables:
+            continue
+        reached = reduce(DataFrame.union, waiting)
+        # Most have a pair where near copies are many; then a table at a time is verified.
+        at_once = [reached] if rows <= number else [
+            reached.where(F.shiftright("place", 32) == t) for t in range(begin, last)
+        ]
+        for some in at_once:
+            found = vectors.select("row", "embedding").join(some, F.col("row") == F.col("node"))
             found = found.select("place", "tile", "side", "node", "size", "cells", "embedding")
-            found = stored(_verified(found, cosine), "vector-links")
-            links = found if links is None else links.union(found)
-            waiting, rows = None, 0
-    return links
+            links.append(stored(_verified(found, cosine), "vector-links"))
+        waiting, begin, rows = [], last, 0
+    return reduce(DataFrame.union, links)
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
