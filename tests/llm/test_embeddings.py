@@ -158,3 +158,17 @@ def test_sides_of_vectors_of_several_lengths(spark, monkeypatch):
     got = {r.vec_id: r for r in near_vectors(spark.createDataFrame(list(enumerate(vectors)), SCHEMA)).collect()}
     assert [got[i].n_links for i in range(19)] == [8] * 9 + [6] * 7 + [2] * 3
     assert [got[i].component_id for i in range(19)] == [0] * 9 + [9] * 7 + [16] * 3
+
+
+def test_near_copies_of_all_vectors_are_verified_a_table_at_a_time(spark, monkeypatch):
+    verified, verify = [], embeddings._verified
+    monkeypatch.setattr(embeddings, "_verified", lambda members, *a: verified.append(members) or verify(members, *a))
+    monkeypatch.setattr(embeddings, "MEMBERS", 10)
+    rng = np.random.default_rng(12)
+    vectors = crowd(rng, 8, 40, 0.15)
+    got = {r.vec_id: r.n_links for r in near_vectors(spark.createDataFrame(list(enumerate(vectors)), SCHEMA)).collect()}
+    want = brute(vectors).sum(axis=1) - 1
+    found = np.array([got[i] for i in range(len(vectors))])
+    assert (found <= want).all() and found.sum() >= 0.97 * want.sum()
+    places = [{r.place >> 32 for r in members.select("place").distinct().collect()} for members in verified]
+    assert len(places) >= embeddings.TABLES and all(len(numbers) <= 1 for numbers in places[: embeddings.TABLES])
